@@ -5,25 +5,34 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from snapdelta.operators.projection import quoted
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], cursor: str, tiebreak: Sequence[str] | None = None
+    df: DataFrame, keys: Sequence[str], cursor: str, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
-    """The row with the highest cursor for each key; ties go to the highest remaining columns.
+    """The row with the highest cursor for each key.
 
-    ``row_number() = 1`` lets Spark keep one row per key in every task *before* the shuffle, so a
-    key that holds a third of all rows sends one row per task, not a third of the table.
+    Ties go to the highest ``tiebreak`` columns, then to the highest remaining ones in table order;
+    NULL is lowest. A maximum is folded inside each task before the shuffle, so a key that holds a
+    third of all rows sends one row per task, and no task sorts or holds that key's rows.
     """
-    if tiebreak is None:
-        tiebreak = [name for name in df.columns if name not in {*keys, cursor}]
-    order = [F.col(quoted(name)).desc_nulls_last() for name in [cursor, *tiebreak]]
-    by_key = Window.partitionBy([F.col(quoted(name)) for name in keys]).orderBy(order)
-    rank = "_rank"
-    return df.withColumn(rank, F.row_number().over(by_key)).filter(F.col(rank) == 1).drop(rank)
+    first = [cursor, *tiebreak]
+    rest = [name for name in df.columns if name not in {*keys, *first}]
+    # Rows with a column that has no order (a map) are carried along, not compared.
+    ordered = [name for name in [*first, *rest] if "map<" not in df.schema[name].dataType.simpleString()]
+    carried = [name for name in [*first, *rest] if name not in ordered]
+    rank = F.struct([F.col(quoted(name)) for name in ordered])
+    best = F.max_by(F.struct([F.col(quoted(n)) for n in [*ordered, *carried]]), rank) if carried else F.max(rank)
+    grouped = df.groupBy([F.col(quoted(name)) for name in keys]).agg(best.alias("_best"))
+    return grouped.select(
+        [
+            F.col(quoted(name)) if name in keys else F.col("_best").getField(name).alias(name)
+            for name in df.columns
+        ]
+    )
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str], cursor: str) -> DataFrame:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapdelta.functions.text import SPACE, strip
+from snapdelta.functions.text import lines, one_spaced, strip
 
 # Lower-case pieces of messages that mark a schema or logic failure.
 SCHEMA_MARKERS = (
@@ -67,36 +67,43 @@ TYPE_CHARS = 72
 SHOWN_DIFFERENCES = 12
 SCANNED_LINES = 8
 
-LINE_BREAK = r"\r\n|[\n-\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
-
-
-def _one_spaced(text: Column) -> Column:
-    return F.regexp_replace(text, f"{SPACE}+", " ")
+# Unicode whitespace for patterns, spelled out so that every regex dialect reads it alike.
+SPACE = (
+    r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
 
 
 def _any_of(text: Column, pieces) -> Column:
     return reduce(lambda left, right: left | right, [F.contains(text, F.lit(p)) for p in pieces])
 
 
-def parse_entry(entry: Column | str) -> Column:
-    """``db.schema.table: ExcType: message`` as a struct; NULL when it has fewer than three parts."""
-    parts = F.split(F.col(entry) if isinstance(entry, str) else entry, ": ", 3)
+def with_parsed_entry(df: DataFrame, entry: str, name: str = "parsed") -> DataFrame:
+    """Add ``db.schema.table: ExcType: message`` as a struct; NULL when it has fewer than three parts."""
     fields = F.struct(
-        F.get(parts, F.lit(0)).alias("table_ref"),
-        F.get(parts, F.lit(1)).alias("exc_type"),
-        F.get(parts, F.lit(2)).alias("detail"),
+        F.get("_parts", F.lit(0)).alias("table_ref"),
+        F.get("_parts", F.lit(1)).alias("exc_type"),
+        F.get("_parts", F.lit(2)).alias("detail"),
     )
-    return F.when(F.size(parts) == 3, fields)
+    # The split is a column of its own, so that it runs once per row.
+    parts = df.withColumn("_parts", F.split(F.col(entry), ": ", 3))
+    return parts.withColumn(name, F.when(F.size("_parts") == 3, fields)).drop("_parts")
+
+
+def _extracted(text: Column, start: str, pattern: str, group: int = 1) -> Column:
+    """A regex group, blank without a match; the regex only sees texts that hold its fixed start."""
+    found = F.regexp_extract(text, pattern, group)
+    return F.when(F.contains(text, F.lit(start)), found).otherwise("")
 
 
 def error_number(message: Column) -> Column:
     """The number in ``[Errno N]``, blank when there is none."""
-    return F.regexp_extract(message, r"\[Errno\s+([0-9]+)\]", 1)
+    return _extracted(message, "[Errno", r"\[Errno\s+([0-9]+)\]")
 
 
 def error_code(message: Column) -> Column:
     """The code in ``An error occurred (Code) ...``, blank when there is none."""
-    return F.regexp_extract(message, r"An error occurred \(([A-Za-z0-9]+)\)", 1)
+    return _extracted(message, "An error occurred (", r"An error occurred \(([A-Za-z0-9]+)\)")
 
 
 def _is_schema_failure(exc_type: Column, message: Column) -> Column:
@@ -150,7 +157,7 @@ def is_exhaustion(exc_type: Column | str, message: Column | str) -> Column:
 
 
 def _short_type(text: Column) -> Column:
-    spaced = _one_spaced(strip(text))
+    spaced = one_spaced(strip(text))
     cut = F.concat(F.substring(spaced, 1, TYPE_CHARS - 3), F.lit("…"))
     return F.when(F.char_length(spaced) > TYPE_CHARS, cut).otherwise(spaced)
 
@@ -158,8 +165,7 @@ def _short_type(text: Column) -> Column:
 def block_columns(block: Column) -> Column:
     """``name: type`` lines of a schema dump as an array of structs, metadata and noise left out."""
     described = F.substring_index(block, METADATA_START, 1)
-    lines = F.transform(F.split(described, LINE_BREAK), strip)
-    useful = F.filter(lines, lambda line: ~line.startswith("--") & F.contains(line, F.lit(": ")))
+    useful = F.filter(lines(described), lambda line: ~line.startswith("--") & F.contains(line, F.lit(": ")))
     pairs = F.transform(
         useful,
         lambda line: F.struct(
@@ -187,7 +193,7 @@ def column_differences(in_table: Column, in_file: Column) -> Column:
         differs = F.concat(F.lit(" (table="), of_table, F.lit(" vs file="), of_file)
         return F.concat(c["name"], F.coalesce(differs, lacks_table, lacks_file), F.lit(")"))
 
-    every = F.array_sort(F.array_distinct(F.concat(names(in_table), names(in_file))))
+    every = F.sort_array(F.array_distinct(F.concat(names(in_table), names(in_file))))
     compared = F.transform(
         every,
         lambda name: F.struct(
@@ -241,8 +247,8 @@ def system_summary(detail: Column | str) -> Column:
     """Disk-full and OS errors as one line; NULL for other texts."""
     detail = F.col(detail) if isinstance(detail, str) else detail
     pattern = rf"\[Errno{SPACE}+([0-9]+)\]{SPACE}*([^\n]+)"
-    number = F.regexp_extract(detail, pattern, 1)
-    text = _short_type(F.regexp_extract(detail, pattern, 2))
+    number = _extracted(detail, "[Errno", pattern)
+    text = _short_type(_extracted(detail, "[Errno", pattern, 2))
     return F.when(F.contains(detail, F.lit(NO_SPACE_TEXT)), NO_SPACE_SUMMARY).when(
         number != "", F.concat(F.lit("OS error errno="), number, F.lit(" "), text)
     )
@@ -254,14 +260,15 @@ def with_plain_summary(df: DataFrame, detail: str, name: str = "plain") -> DataF
     def telling(line: Column) -> Column:
         return ~reduce(lambda a, b: a | b, [line.startswith(start) for start in WRAPPER_STARTS])
 
-    text = F.regexp_replace(strip(F.col(detail)), rf"^<class '[^']+'>{SPACE}*\n?", "")
-    lines = F.filter(F.transform(F.split(text, LINE_BREAK), strip), lambda line: line != "")
+    text = strip(detail)
+    unwrapped = F.regexp_replace(text, rf"^<class '[^']+'>{SPACE}*\n?", "")
+    text = F.when(text.startswith("<class '"), unwrapped).otherwise(text)
     first_telling = F.get(F.filter(F.slice("_lines", 1, SCANNED_LINES), telling), F.lit(0))
     line = F.coalesce(first_telling, F.get("_lines", F.lit(0)), F.lit(""))
     cut = F.concat(F.substring("_line", 1, LINE_CHARS - 1), F.lit("…"))
     return (
-        df.withColumn("_lines", lines)
-        .withColumn("_line", _one_spaced(line))
+        df.withColumn("_lines", lines(text))
+        .withColumn("_line", one_spaced(line))
         .withColumn(name, F.when(F.char_length("_line") > LINE_CHARS, cut).otherwise(F.col("_line")))
         .drop("_lines", "_line")
     )
@@ -269,9 +276,15 @@ def with_plain_summary(df: DataFrame, detail: str, name: str = "plain") -> DataF
 
 def with_digest(df: DataFrame, entry: str, name: str = "digest") -> DataFrame:
     """Add one line per failure: ``table — exception — summary``, at most 450 characters."""
-    steps = df.withColumn("_parsed", parse_entry(entry)).withColumn("_detail", F.col("_parsed.detail"))
-    steps = with_plain_summary(with_mismatch_summary(steps, "_detail", "_mismatch"), "_detail", "_plain")
-    summary = F.coalesce("_mismatch", system_summary("_detail"), "_plain")
+    steps = with_parsed_entry(df, entry, "_parsed").withColumn("_detail", F.col("_parsed.detail"))
+    steps = with_mismatch_summary(steps, "_detail", "_mismatch")
+    steps = steps.withColumn("_special", F.coalesce("_mismatch", system_summary("_detail")))
+    # Only messages that are neither are read line by line.
+    steps = steps.withColumn("_message", F.when(F.col("_special").isNull(), F.col("_detail")))
+    steps = with_plain_summary(steps, "_message", "_plain")
+    summary = F.coalesce("_special", "_plain")
     line = F.concat("_parsed.table_ref", F.lit(" — "), "_parsed.exc_type", F.lit(" — "), summary)
     digest = F.substring(F.coalesce(line, F.col(entry)), 1, LINE_CHARS)
-    return steps.withColumn(name, digest).drop("_parsed", "_detail", "_mismatch", "_plain")
+    return steps.withColumn(name, digest).drop(
+        "_parsed", "_detail", "_mismatch", "_special", "_message", "_plain"
+    )

@@ -11,6 +11,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapdelta.config import DeltaLoad, FullLoad
+from snapdelta.operators.compact import union_outputs
 from snapdelta.operators.failures import failure_class
 from snapdelta.operators.metrics import FAILED, OK, SKIPPED, run_rollup, run_status
 from snapdelta.plans.loads import Landed, load_delta, load_full
@@ -65,8 +66,8 @@ class JobSettings:
 
 
 def _is_passing_fault(spark: SparkSession, error: Exception) -> bool:
-    row = spark.range(1).select(failure_class(F.lit(type(error).__name__), F.lit(str(error))).alias("c"))
-    return row.first().c == "transient"
+    found = failure_class(F.lit(type(error).__name__), F.lit(str(error)))
+    return spark.sql("SELECT 1").select(found.alias("found")).first().found == "transient"
 
 
 def _attempt(spark: SparkSession, settings: JobSettings, load_once) -> Landed:
@@ -148,23 +149,18 @@ def load_log(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
     return spark.createDataFrame([tuple(asdict(o).values()) for o in outcomes], LOG_SCHEMA)
 
 
-def write_run_summary(log: DataFrame, layout: Layout, day: str, job_id: str, **about: str) -> str:
-    """One JSON document per run: the roll-up per phase, the status and the failed tables.
-
-    The log has one row per configured table, so the document is as small as the job's config.
-    """
-    phases = run_rollup(log).agg(
-        F.sort_array(F.collect_list(F.struct("phase", "tables", "ok", "failed", "skipped", "n_rows"))).alias("phases")
-    )
+def write_run_summary(
+    log: DataFrame, layout: Layout, day: str, job_id: str, exit_on_failures: bool = False, **about: str
+) -> str:
+    """The run as JSON lines: one ``run`` row, one ``phase`` row per phase and one ``failure`` row per
+    failed table. ``about`` adds facts of the job, such as its name, to the run row."""
+    facts = [F.lit(value).alias(name) for name, value in {"snapshot_date": day, **about}.items()]
+    run = run_status(log, exit_on_failures).select(F.lit("run").alias("kind"), *facts, "*")
+    phases = run_rollup(log).select(F.lit("phase").alias("kind"), "*")
     label = F.concat_ws(".", "database", "schema", "table_name")
-    failures = log.filter(F.col("status") == FAILED).agg(
-        F.sort_array(F.collect_list(F.concat(label, F.lit(": "), F.col("error")))).alias("failed_tables")
+    failures = log.filter(F.col("status") == FAILED).select(
+        F.lit("failure").alias("kind"), "load_type", label.alias("table_ref"), "error"
     )
-    status = run_status(log)
-    facts = [F.lit(value).alias(name) for name, value in {"snapshot_date": day, **about}.items()]
-    one_row = status.withColumn("k", F.lit(1))
-    for part in (phases, failures):
-        one_row = one_row.join(part.withColumn("k", F.lit(1)), "k")
     folder = layout.summary(day, job_id)
-    one_row.drop("k").select(*facts, "*").coalesce(1).write.mode("overwrite").json(folder)
+    union_outputs([run, phases, failures]).write.mode("overwrite").json(folder)
     return folder

@@ -59,15 +59,16 @@ def load_delta(
     """
     run_id = run_id or uuid.uuid4().hex
     key = state_key(base_name, "delta", load.database, load.schema, load.output_name)
-    saved = watermarks.lookup(key)
-    cutoff = saved if saved is not None else first_floor(load.initial_value, floor)
+    saved = watermarks.saved(key)
+    first = saved.value is None
+    cutoff = first_floor(load.initial_value, floor) if first else saved.value
     cursor = F.col(quoted(load.cursor_column))
     data_type = rows.schema[load.cursor_column].dataType
 
     chosen = extract(rows, load, cutoff)
     # A later increment keeps few rows of each scan task. A first load keeps most of them, so its
     # files follow the scan without a shuffle.
-    if saved is not None:
+    if not first:
         chosen = even_files(chosen)
     ordered = in_cursor_order(chosen, load.cursor_column)
     folder = f"{layout.delta(load.output_name, day)}/{run_id}"
@@ -79,7 +80,9 @@ def load_delta(
         finish=stable_types,
         high=stored_text(F.max(cursor), data_type),
     )
-    watermarks.advance(key, metrics["high"], data_type.simpleString(), metrics["n_rows"], run_id)
+    watermarks.advance(
+        key, metrics["high"], data_type.simpleString(), metrics["n_rows"], run_id, after=saved
+    )
     mode = "full_table" if cutoff is None else "incremental"
     return Landed(metrics["n_rows"], mode, cutoff, metrics["high"])
 

@@ -44,7 +44,7 @@ def _entries(spark, folder):
 
 
 def _parsed(spark, folder):
-    entries = _entries(spark, folder).withColumn("parsed", failures.parse_entry("entry"))
+    entries = failures.with_parsed_entry(_entries(spark, folder), "entry")
     return entries.select("doc_id", "entry", F.col("parsed").isNotNull().alias("is_parsed"), "parsed.*")
 
 
@@ -88,6 +88,7 @@ def exhaustion_flag(spark, folder):
 
 
 _SP = failures.SPACE
+_BREAK = r"\r\n|[\n-\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 
 
 def _short(text: str) -> str:
@@ -136,8 +137,8 @@ _MISMATCH = f"""dumps AS (
 @query("mismatch_summary", f"WITH parsed AS ({_PARSED}), {_MISMATCH} SELECT doc_id, mismatch FROM mismatches")
 def mismatch_summary(spark, folder):
     """Both schema blocks of a dump compared column by column."""
-    summed = failures.with_mismatch_summary(_parsed(spark, folder), "detail", "mismatch")
-    return summed.filter(F.col("mismatch").isNotNull()).select("doc_id", "mismatch")
+    dumps = _parsed(spark, folder).filter(F.contains(F.col("detail"), F.lit(failures.MISMATCH_START)))
+    return failures.with_mismatch_summary(dumps, "detail", "mismatch").select("doc_id", "mismatch")
 
 
 # The first telling line of a message, found over its lines as rows.
@@ -146,7 +147,7 @@ _PLAIN = f"""message_lines AS (
       SELECT doc_id, generate_subscripts(lines, 1) AS pos, {_strip("unnest(lines)")} AS line
       FROM (SELECT doc_id, regexp_split_to_array(
               regexp_replace({_strip("detail")}, '^<class ''[^'']+''>{_SP}*\\n?', ''),
-              '{failures.LINE_BREAK}') AS lines FROM parsed WHERE is_parsed))
+              '{_BREAK}') AS lines FROM parsed WHERE is_parsed))
     WHERE line <> ''),
   numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM message_lines),
   plain AS (

@@ -101,31 +101,38 @@ def file_count(spark, folder):
 
 
 _LOG = """SELECT CASE WHEN user_id % 2 = 0 THEN 'FULL' ELSE 'DELTA' END AS load_type, 'web' AS database,
-                 'public' AS schema, event_type AS table_name,
-                 CASE event_type WHEN 'signup' THEN 'skipped' ELSE 'ok' END AS status, value AS seconds,
-                 event_id AS n_rows, CAST(NULL AS {text}) AS error
+                 'public' AS schema, concat('t', event_id) AS table_name,
+                 CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'skipped' ELSE 'ok' END AS status,
+                 event_id AS n_rows, CASE event_type WHEN 'error' THEN props END AS error
           FROM {events}"""
 
 
 @query(
     "run_summary_json",
-    f"""WITH log AS ({_LOG.format(text="VARCHAR", events="events")})
-        SELECT '{DAY}' AS snapshot_date, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS exit_code, phase,
-               tables, ok, failed, skipped, n_rows
-        FROM (SELECT CASE WHEN GROUPING(load_type) = 1 THEN 'ALL' ELSE load_type END AS phase, COUNT(*) AS tables,
-                     COUNT(*) FILTER (status = 'ok') AS ok, CAST(0 AS BIGINT) AS failed,
-                     COUNT(*) FILTER (status = 'skipped') AS skipped,
-                     CAST(SUM(n_rows) FILTER (status = 'ok') AS BIGINT) AS n_rows
-              FROM log GROUP BY ROLLUP (load_type))""",
+    f"""WITH log AS ({_LOG.format(events="events")})
+        SELECT 'run' AS kind, '{DAY}' AS snapshot_date, 'FAILED (full_failed=' || full_failed || ', delta_failed='
+               || delta_failed || ')' AS status, CAST(1 AS BIGINT) AS exit_code, NULL AS phase,
+               CAST(NULL AS BIGINT) AS tables, CAST(NULL AS BIGINT) AS failed, CAST(NULL AS BIGINT) AS n_rows,
+               NULL AS table_ref, NULL AS error
+        FROM (SELECT COUNT(*) FILTER (load_type = 'FULL') AS full_failed,
+                     COUNT(*) FILTER (load_type = 'DELTA') AS delta_failed FROM log WHERE status = 'failed')
+        UNION ALL
+        SELECT 'phase', NULL, 'FAILED', NULL, CASE WHEN GROUPING(load_type) = 1 THEN 'ALL' ELSE load_type END,
+               COUNT(*), COUNT(*) FILTER (status = 'failed'),
+               CAST(SUM(n_rows) FILTER (status = 'ok') AS BIGINT), NULL, NULL
+        FROM log GROUP BY ROLLUP (load_type)
+        UNION ALL
+        SELECT 'failure', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'web.public.' || table_name, error
+        FROM log WHERE status = 'failed'""",
 )
 def run_summary_json(spark, folder):
-    """The summary of a run, written as JSON, read back and laid out by phase."""
+    """The summary of a run, written as JSON lines and read back."""
     place = layout(spark)
     events = table(spark, folder, "events")
-    log = spark.sql(_LOG.format(text="string", events="{events}"), events=events)
-    written = write_run_summary(log, place, DAY, "job-1")
-    phase = "struct<phase string, tables bigint, ok bigint, failed bigint, skipped bigint, n_rows bigint>"
-    summary = spark.read.schema(
-        f"snapshot_date string, status string, exit_code bigint, phases array<{phase}>"
-    ).json(written)
-    return summary.select("snapshot_date", "status", "exit_code", F.inline("phases"))
+    log = spark.sql(_LOG.format(events="{events}"), events=events)
+    written = write_run_summary(log, place, DAY, "job-1", exit_on_failures=True)
+    schema = (
+        "kind string, snapshot_date string, status string, exit_code bigint, phase string, tables bigint, "
+        "failed bigint, n_rows bigint, table_ref string, error string"
+    )
+    return spark.read.schema(schema).json(written)

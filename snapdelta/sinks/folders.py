@@ -41,15 +41,6 @@ class Folders:
                 return True
         return False
 
-    def data_files(self, folder: str) -> int:
-        path, fs = self._path(folder)
-        if not fs.exists(path):
-            return 0
-        files, count = fs.listFiles(path, True), 0
-        while files.hasNext():
-            count += files.next().getPath().getName()[0] not in "_."
-        return count
-
     def delete_at_exit(self, folder: str) -> None:
         path, fs = self._path(folder)
         fs.mkdirs(path)

@@ -55,7 +55,7 @@ def land_stream(
             finish=stable_types,
             high=stored_text(F.max(cursor), data_type),
         )
-        watermarks.raise_to(
+        watermarks.advance(
             key, metrics["high"], data_type.simpleString(), metrics["n_rows"], run_id
         )
 
