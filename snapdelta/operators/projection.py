@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from snapdelta.config import DeltaLoad, FullLoad
 
@@ -51,5 +51,6 @@ def with_cursor(df: DataFrame, load: DeltaLoad) -> DataFrame:
 
 def nullable(df: DataFrame) -> DataFrame:
     """The same rows with every top-level column allowed to be NULL."""
-    fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields]
-    return df.to(T.StructType(fields)) if any(not f.nullable for f in df.schema.fields) else df
+    # A condition without an ELSE may be NULL as far as the schema knows; the optimizer drops it.
+    loose = {f.name: F.when(F.lit(True), F.col(quoted(f.name))) for f in df.schema.fields if not f.nullable}
+    return df.withColumns(loose) if loose else df

@@ -31,7 +31,7 @@ def slice_number(column: str, lower: int, upper: int, slices: int) -> Column:
     """Which of ``slices`` equal ranges a value falls in; the outer two are open and NULL is in the first."""
     stride = max(1, (upper - lower + 1) // slices)
     number = F.floor((F.col(quoted(column)) - F.lit(lower)) / F.lit(stride)).cast("int")
-    return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(slices - 1), number)), F.lit(0))
+    return F.greatest(F.lit(0), F.least(F.lit(slices - 1), F.coalesce(number, F.lit(0))))
 
 
 def slice_predicates(column: str, lower: int, upper: int, slices: int) -> list[str]:
