@@ -52,5 +52,6 @@ def with_cursor(df: DataFrame, load: DeltaLoad) -> DataFrame:
 def nullable(df: DataFrame) -> DataFrame:
     """The same rows with every top-level column allowed to be NULL."""
     # A condition without an ELSE may be NULL as far as the schema knows; the optimizer drops it.
-    loose = {f.name: F.when(F.lit(True), F.col(quoted(f.name))) for f in df.schema.fields if not f.nullable}
+    tight = {f.name: F.col(quoted(f.name)) for f in df.schema.fields if not f.nullable}
+    loose = {name: F.when(column.isNotNull(), column) for name, column in tight.items()}
     return df.withColumns(loose) if loose else df
