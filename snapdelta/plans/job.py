@@ -52,6 +52,7 @@ class JobSettings:
     base_name: str = "snapdelta"
     floor: object = "1970-01-01T00:00:00"
     keep_existing_snapshot: bool = False
+    replace_in_place: bool = False
     parallel_tables: int = 4
     attempts: int = 1
     retry_delay_seconds: float = 20.0
@@ -90,7 +91,9 @@ def _phase(spark, load_type, loads, settings, stop_on_failure, load_one) -> list
             return Outcome(*place, SKIPPED)
         start = time.monotonic()
         try:
-            landed = _attempt(spark, settings, lambda: load_one(load))
+            # One run id for all attempts, so that a retry writes over what the first one left.
+            run_id = uuid.uuid4().hex
+            landed = _attempt(spark, settings, lambda: load_one(load, run_id))
         except Exception as error:
             failed.append(load.label)
             spent = time.monotonic() - start
@@ -119,16 +122,13 @@ def run_job(
     delta = [load for load in delta if load.enabled] if settings.mode != "full" else []
     if not full and not delta:
         raise ValueError("no enabled tables to load")
-    writer = SnapshotWriter(settings.keep_existing_snapshot)
+    writer = SnapshotWriter(settings.keep_existing_snapshot, settings.replace_in_place)
     watermarks = WatermarkTable(spark, layout.state)
 
-    def one_full(load: FullLoad) -> Landed:
+    def one_full(load: FullLoad, run_id: str) -> Landed:
         return load_full(source(load), load, layout, settings.day, writer, settings.rows_per_file)
 
-    # One run id per table for all attempts, so that a retry writes over what the first one left.
-    run_ids = {load: uuid.uuid4().hex for load in delta}
-
-    def one_delta(load: DeltaLoad) -> Landed:
+    def one_delta(load: DeltaLoad, run_id: str) -> Landed:
         return load_delta(
             source(load),
             load,
@@ -137,7 +137,7 @@ def run_job(
             watermarks,
             settings.base_name,
             settings.floor,
-            run_ids[load],
+            run_id,
             settings.rows_per_file,
         )
 

@@ -55,11 +55,13 @@ def load_delta(
 
     The files come first and the state second: a crash in between repeats rows, never loses them,
     and a second attempt with the same ``run_id`` writes over the first one's files. The new cursor
-    is the highest one written, taken during the write.
+    is the highest one written, taken during the write. Each run needs an id of its own.
     """
     run_id = run_id or uuid.uuid4().hex
     key = state_key(base_name, "delta", load.database, load.schema, load.output_name)
     saved = watermarks.saved(key)
+    if saved.run_id == run_id:
+        raise ValueError(f"{load.label}: run {run_id} is already complete")
     first = saved.value is None
     cutoff = first_floor(load.initial_value, floor) if first else saved.value
     cursor = F.col(quoted(load.cursor_column))

@@ -36,12 +36,16 @@ def write_files(
     return seen.get
 
 
-def replace_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0) -> int:
+def replace_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0, in_place: bool = False) -> int:
     """Put ``df`` in place of the folder's files.
 
     The rows are written beside the folder and moved in once complete. A failed write leaves the
-    old snapshot as it was, and a snapshot can be rebuilt from itself.
+    old snapshot as it was, and a snapshot can be rebuilt from itself. Moving a folder is one step
+    on HDFS, but an object store copies every file: there, ``in_place`` deletes the old files first
+    and writes straight to the folder, at the price that a failed write leaves no snapshot.
     """
+    if in_place:
+        return write_files(df, folder, "overwrite", rows_per_file)["n_rows"]
     folders = Folders(df.sparkSession)
     parent, name = folder.rstrip("/").rsplit("/", 1)
     incoming = f"{parent}/_incoming-{name}-{uuid.uuid4().hex[:12]}"
@@ -62,14 +66,15 @@ def append_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0) -> int:
 class SnapshotWriter:
     """Snapshots of one job: the first load of a folder replaces it, later ones add to it."""
 
-    def __init__(self, keep_existing: bool = False):
+    def __init__(self, keep_existing: bool = False, in_place: bool = False):
         self.keep_existing = keep_existing
+        self.in_place = in_place
         self._replaced: set[str] = set()
 
     def write(self, df: DataFrame, folder: str, rows_per_file: int = 0) -> int:
         if self.keep_existing or folder in self._replaced:
             return append_snapshot(df, folder, rows_per_file)
-        n_rows = replace_snapshot(df, folder, rows_per_file)
+        n_rows = replace_snapshot(df, folder, rows_per_file, self.in_place)
         self._replaced.add(folder)
         return n_rows
 

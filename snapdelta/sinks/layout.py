@@ -21,12 +21,18 @@ def folder_column(template: str, table: Column, day: Column) -> Column:
     return F.replace(dated, F.lit("{table_name}"), table)
 
 
+# Folders under the dataset, and the folder of run summaries.
+FULL_TEMPLATE = "full_load/{table_name}/{snapshot_date}"
+DELTA_TEMPLATE = "delta_load/{table_name}/{snapshot_date}"
+SUMMARY_FOLDER = "_batch_run_summaries"
+
+
 @dataclass(frozen=True)
 class Layout:
     root: str
     dataset: str = "landing"
-    full_template: str = "full_load/{table_name}/{snapshot_date}"
-    delta_template: str = "delta_load/{table_name}/{snapshot_date}"
+    full_template: str = FULL_TEMPLATE
+    delta_template: str = DELTA_TEMPLATE
 
     @property
     def base(self) -> str:
@@ -52,4 +58,4 @@ class Layout:
         return f"{self.base}/_load_state"
 
     def summary(self, day: str, job_id: str) -> str:
-        return f"{self.base}/_batch_run_summaries/{day.strip('/')}/{job_id}.json"
+        return f"{self.base}/{SUMMARY_FOLDER}/{day.strip('/')}/{job_id}.json"

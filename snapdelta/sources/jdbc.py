@@ -62,6 +62,20 @@ def source_query(load: FullLoad) -> str:
     return f"({query}) AS extract"
 
 
+def bounds_query(load: FullLoad, column: str) -> str:
+    """Smallest and largest value of a column over the same projection, in one round trip."""
+    return f"(SELECT MIN({_name(column)}) AS lo, MAX({_name(column)}) AS hi FROM {source_query(load)}) AS bounds"
+
+
+def slices_of(
+    spark: SparkSession, connection: Connection, load: FullLoad, column: str, parts: int
+) -> tuple[str, int, int, int] | None:
+    """Even slices over a column's range, for ``postgres_tables``; None when there are no values."""
+    options = connection.options()
+    row = spark.read.format("jdbc").options(dbtable=bounds_query(load, column), **options).load().first()
+    return None if row.lo is None else (column, int(row.lo), int(row.hi), parts)
+
+
 def postgres_tables(
     spark: SparkSession,
     connections: dict[str, Connection],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,9 +37,10 @@ def land_stream(
     """Land all files that have arrived since the last call, then stop.
 
     The checkpoint knows which files were read, so only the floor filters rows, and a late row in a
-    new file is kept. A batch writes to a folder of its own: if it runs again after a failure, it
-    replaces what the first try left. The highest cursor is saved too, so that batch runs can go on
-    from it.
+    new file is kept. A batch writes to a folder of its own, named after the checkpoint: if it runs
+    again after a failure, it replaces what the first try left. (On a later day it lands in that
+    day's folder, so rows may repeat but are never lost.) The highest cursor is saved too, so that
+    batch runs can go on from it.
     """
     cutoff = first_floor(load.initial_value, floor)
     key = state_key(base_name, "delta", load.database, load.schema, load.output_name)
@@ -45,9 +48,10 @@ def land_stream(
     data_type = rows.schema[load.cursor_column].dataType
     cursor = F.col(quoted(load.cursor_column))
     chosen = extract(rows, load, cutoff)
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"stream-{batch_id}"
+        run_id = f"stream-{stream}-{batch_id}"
         metrics = write_files(
             in_cursor_order(batch, load.cursor_column),
             f"{layout.delta(load.output_name, day)}/{run_id}",

@@ -4,7 +4,7 @@ import pytest
 
 from snapdelta.config import DeltaLoad, FullLoad, enabled_loads, read_loads, select_loads
 from snapdelta.sinks.layout import Layout, snapshot_date
-from snapdelta.sources.jdbc import Connection, source_query
+from snapdelta.sources.jdbc import Connection, bounds_query, source_query
 from snapdelta.sources.tables import slice_number, slice_predicates
 
 YAML = """
@@ -90,6 +90,7 @@ def test_source_query_leaves_the_projection_to_the_database():
     assert source_query(delta) == f'(SELECT src.*, (GREATEST(a, "B")) AS "c" FROM ({inner}) AS src) AS extract'
     text = FullLoad("d", "public", "t", select_sql="id::text AS id\n")
     assert source_query(text) == '(SELECT id::text AS id FROM "public"."t") AS extract'
+    assert bounds_query(text, "id") == f'(SELECT MIN("id") AS lo, MAX("id") AS hi FROM {source_query(text)}) AS bounds'
     assert source_query(FullLoad("d", "s", "t")) == '(SELECT * FROM "s"."t") AS extract'
 
 

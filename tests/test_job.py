@@ -122,12 +122,30 @@ def test_stream_reads_each_file_once(spark, place, tmp_path):
 
 
 def test_a_repeated_batch_replaces_itself(spark, place, tmp_path):
-    arrived = str(tmp_path / "in")
+    arrived, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
     spark.range(5).withColumnRenamed("id", "ts").coalesce(1).write.parquet(arrived)
-    # A lost checkpoint makes the stream number its batches from zero again.
-    for checkpoint in ("one", "two"):
-        stream_once(spark, place, arrived, str(tmp_path / checkpoint), floor=None)
+    stream_once(spark, place, arrived, checkpoint, floor=None)
+    # As if the driver had died after the batch's write, before Spark noted it as done.
+    for name in ("0", ".0.crc"):
+        (tmp_path / "check" / "commits" / name).unlink(missing_ok=True)
+    stream_once(spark, place, arrived, checkpoint, floor=None)
     assert read_delta_log(spark, place, "events").count() == 5
+    # Another stream into the same table keeps out of the first one's folders.
+    stream_once(spark, place, arrived, str(tmp_path / "other"), floor=None)
+    assert read_delta_log(spark, place, "events").count() == 10
+
+
+def test_equal_configs_do_not_overwrite_each_other(spark, place, source):
+    outcomes = run_job(spark, source, place, JobSettings(DAY), (), DELTA * 2)
+    assert [o.n_rows for o in outcomes] == [3, 0]
+    assert read_delta_log(spark, place, "td").count() == 3
+
+
+def test_hooks_are_plain_functions_around_a_source(spark, place, source):
+    def hooked(load):
+        return source(load).filter("id > 2")
+
+    assert run_job(spark, hooked, place, JobSettings(DAY), FULL[:1])[0].n_rows == 2
 
 
 def test_batch_runs_go_on_from_a_stream(spark, place, tmp_path):

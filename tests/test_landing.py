@@ -75,6 +75,13 @@ def test_first_writer_replaces_and_the_next_adds(spark, tmp_path):
     assert ids(spark.read.parquet(folder)) == [0, 9]
 
 
+def test_in_place_replacement(spark, tmp_path):
+    folder = str(tmp_path / "day")
+    replace_snapshot(spark.range(5), folder, in_place=True)
+    assert replace_snapshot(spark.range(2), folder, in_place=True) == 2
+    assert ids(spark.read.parquet(folder)) == [0, 1]
+
+
 def test_empty_snapshot_is_readable(spark, tmp_path):
     folder = str(tmp_path / "day")
     replace_snapshot(spark.range(5), folder)
@@ -165,6 +172,9 @@ def test_a_second_try_of_a_run_replaces_the_first(spark, place):
     write_files(frame, f"{place.delta('out', DAY)}/run-1", "overwrite")
     assert run(spark, place, frame, run_id="run-1").n_rows == 2
     assert ids(read_delta_log(spark, place, "out")) == [1, 2]
+    with pytest.raises(ValueError, match="already complete"):
+        run(spark, place, frame, run_id="run-1")
+    assert ids(read_delta_log(spark, place, "out")) == [1, 2]
 
 
 def test_reset_reads_from_the_floor_again(spark, place):
