@@ -71,24 +71,24 @@ def load_from_entry(database: str, entry: dict, delta: bool) -> FullLoad:
     return kind(**known)
 
 
-def _entries(path: Path) -> list[dict]:
+def read_document(path: str | Path) -> dict:
+    """A YAML or JSON file as a dict."""
+    path = Path(path)
     text = path.read_text(encoding="utf-8")
     if path.suffix == ".json":
-        document = json.loads(text)
-    else:
-        import yaml  # only needed by those who keep their configs in YAML
+        return json.loads(text) or {}
+    import yaml  # only needed by those who keep their configs in YAML
 
-        document = yaml.safe_load(text)
-    return (document or {}).get("tables") or []
+    return yaml.safe_load(text) or {}
 
 
-def read_loads(folder: str, delta: bool = False) -> list[FullLoad]:
+def read_loads(folder: str | Path, delta: bool = False) -> list[FullLoad]:
     """All enabled tables of a folder of ``<database alias>.yaml`` (or ``.json``) files."""
     files = sorted(p for p in Path(folder).glob("*") if p.suffix in (".yaml", ".yml", ".json"))
     return [
         load_from_entry(path.stem, entry, delta)
         for path in files
-        for entry in _entries(path)
+        for entry in read_document(path).get("tables") or []
         if entry.get("enabled", True)
     ]
 

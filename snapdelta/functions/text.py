@@ -35,12 +35,15 @@ def timestamptz_text(value: Column | str) -> Column:
     return F.concat(_column(value).cast("string"), offset)
 
 
-def iso_text(value: Column | str) -> Column:
-    """ISO 8601 with ``T``; microseconds (always six digits) only when they are not zero."""
-    value = _column(value)
-    whole = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(value, "SSSSSS")
-    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+def iso_text(value: Column | str, zoned: bool = False) -> Column:
+    """ISO 8601 with ``T``; microseconds (always six digits) only when they are not zero.
+
+    ``zoned`` adds the session zone's offset, for columns that hold instants.
+    """
+    raw = _column(value).cast("string")
+    padded = F.when(F.contains(raw, F.lit(".")), F.rpad(raw, 26, "0")).otherwise(raw)
+    text = F.replace(padded, F.lit(" "), F.lit("T"))
+    return F.concat(text, F.date_format(_column(value), "xxx")) if zoned else text
 
 
 def number_text(value: Column | str) -> Column:

@@ -152,8 +152,9 @@ def describe_extract(df: DataFrame, cursor: str, last_value) -> DataFrame:
     data_type = df.schema[cursor].dataType
 
     def shown(column: Column) -> Column:
-        stamps = (T.TimestampType, T.TimestampNTZType)
-        return iso_text(column) if isinstance(data_type, stamps) else column.cast("string")
+        if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+            return iso_text(column, zoned=isinstance(data_type, T.TimestampType))
+        return column.cast("string")
 
     first = last_value is None
     mode = "full_table" if first else "incremental"

@@ -19,11 +19,10 @@ STABLE_TEXT_COLUMNS = (
     "request_received_at",
 )
 
-_STAMPS = (T.TimestampType, T.TimestampNTZType)
-
-
 def _as_stable_text(column: Column, data_type: T.DataType) -> Column:
-    return or_blank(iso_text(column) if isinstance(data_type, _STAMPS) else column.cast("string"))
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return or_blank(iso_text(column, zoned=isinstance(data_type, T.TimestampType)))
+    return or_blank(column.cast("string"))
 
 
 def stable_text(df: DataFrame, columns: Iterable[str] = STABLE_TEXT_COLUMNS) -> DataFrame:

@@ -42,10 +42,20 @@ class Outcome:
         return f"{self.database}.{self.schema}.{self.table_name}: {self.error}"
 
 
+@dataclass(frozen=True)
+class PhaseSettings:
+    """Tables run ``parallel_tables`` at a time, so that a small table's last tasks do not leave the
+    cluster idle. Only passing faults are tried again."""
+
+    parallel_tables: int = 4
+    attempts: int = 1
+    retry_delay_seconds: float = 20.0
+    stop_on_failure: bool = False
+
+
 @dataclass(frozen=True)
 class JobSettings:
-    """``mode`` is ``full``, ``delta`` or ``both``. Tables run ``parallel_tables`` at a time so that
-    a small table's last tasks do not leave the cluster idle."""
+    """``mode`` is ``full``, ``delta`` or ``both``; ``floor`` is where first increments start."""
 
     day: str
     mode: str = "both"
@@ -53,11 +63,8 @@ class JobSettings:
     floor: object = "1970-01-01T00:00:00"
     keep_existing_snapshot: bool = False
     replace_in_place: bool = False
-    parallel_tables: int = 4
-    attempts: int = 1
-    retry_delay_seconds: float = 20.0
-    stop_full_on_failure: bool = False
-    stop_delta_on_failure: bool = False
+    full: PhaseSettings = PhaseSettings()
+    delta: PhaseSettings = PhaseSettings()
     exit_on_failures: bool = False
     rows_per_file: int = 0
 
@@ -66,12 +73,43 @@ class JobSettings:
             raise ValueError(f"mode must be full, delta or both, not {self.mode!r}")
 
 
+def settings_from(document: dict, day: str, mode: str = "both") -> JobSettings:
+    """Job settings from a settings document (sections ``pipeline``, ``snapshot``, ``delta``, ``runtime``)."""
+    runtime = document.get("runtime") or {}
+    snapshot = document.get("snapshot") or {}
+
+    def phase(name: str, fallback: PhaseSettings) -> PhaseSettings:
+        def given(key: str, default):
+            value = runtime.get(key)
+            return default if value is None else value
+
+        return PhaseSettings(
+            int(given(f"max_workers_{name}", 4)),
+            int(given(f"{name}_load_max_attempts", fallback.attempts)),
+            float(given(f"{name}_load_retry_delay_seconds", fallback.retry_delay_seconds)),
+            bool(given(f"{name}_load_fail_fast", False)),
+        )
+
+    full = phase("full", PhaseSettings())
+    replaces = snapshot.get("delete_existing_full_load_snapshot", True)
+    return JobSettings(
+        day=day,
+        mode=mode,
+        base_name=(document.get("pipeline") or {}).get("name", "snapdelta"),
+        floor=(document.get("delta") or {}).get("initial_cursor_value"),
+        keep_existing_snapshot=bool(runtime.get("skip_delete_existing_snapshot") or not replaces),
+        full=full,
+        delta=phase("delta", full),
+        exit_on_failures=bool(runtime.get("exit_on_table_failures")),
+    )
+
+
 def _is_passing_fault(spark: SparkSession, error: Exception) -> bool:
     found = failure_class(F.lit(type(error).__name__), F.lit(str(error)))
     return spark.sql("SELECT 1").select(found.alias("found")).first().found == "transient"
 
 
-def _attempt(spark: SparkSession, settings: JobSettings, load_once) -> Landed:
+def _attempt(spark: SparkSession, settings: PhaseSettings, load_once) -> Landed:
     for attempt in range(1, max(1, settings.attempts) + 1):
         try:
             return load_once()
@@ -81,13 +119,15 @@ def _attempt(spark: SparkSession, settings: JobSettings, load_once) -> Landed:
             time.sleep(settings.retry_delay_seconds * 2 ** (attempt - 1))
 
 
-def _phase(spark, load_type, loads, settings, stop_on_failure, load_one) -> list[Outcome]:
+def _phase(
+    spark: SparkSession, load_type: str, loads: Sequence[FullLoad], settings: PhaseSettings, load_one
+) -> list[Outcome]:
     """Run the loads of one phase. A failure ends its own table only, unless asked to stop."""
     failed: list[str] = []
 
     def run(load: FullLoad) -> Outcome:
         place = (load_type, load.database, load.schema, load.output_name)
-        if stop_on_failure and failed:
+        if settings.stop_on_failure and failed:
             return Outcome(*place, SKIPPED)
         start = time.monotonic()
         try:
@@ -141,8 +181,8 @@ def run_job(
             settings.rows_per_file,
         )
 
-    outcomes = _phase(spark, "FULL", full, settings, settings.stop_full_on_failure, one_full)
-    return outcomes + _phase(spark, "DELTA", delta, settings, settings.stop_delta_on_failure, one_delta)
+    outcomes = _phase(spark, "FULL", full, settings.full, one_full)
+    return outcomes + _phase(spark, "DELTA", delta, settings.delta, one_delta)
 
 
 def load_log(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:

@@ -38,6 +38,8 @@ class Connection:
             "password": self.password,
             "fetchsize": str(fetch_rows),
             "tcpKeepAlive": str(self.keepalive).lower(),
+            # Times without a zone stay without one.
+            "preferTimestampNTZ": "true",
         }
         if self.statement_timeout_ms:
             options["sessionInitStatement"] = f"SET statement_timeout = {int(self.statement_timeout_ms)}"

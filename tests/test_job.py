@@ -3,9 +3,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from snapdelta import main
 from snapdelta.config import DeltaLoad, FullLoad
 from snapdelta.plans import job as jobs
-from snapdelta.plans.job import JobSettings, load_log, run_job, write_run_summary
+from snapdelta.plans.job import JobSettings, PhaseSettings, load_log, run_job, settings_from, write_run_summary
 from snapdelta.session import shared_root, work_folder
 from snapdelta.sinks.layout import Layout
 from snapdelta.sources.landed import read_delta_log, read_snapshot
@@ -79,7 +80,7 @@ def test_modes_and_empty_selection(spark, place, source):
 
 
 def test_stop_on_failure_skips_what_has_not_started(spark, place, source):
-    settings = JobSettings(DAY, parallel_tables=1, stop_full_on_failure=True)
+    settings = JobSettings(DAY, full=PhaseSettings(parallel_tables=1, stop_on_failure=True))
     outcomes = run_job(spark, source, place, settings, FULL[1:], DELTA)
     assert [o.status for o in outcomes] == ["failed", "skipped", "ok"]
 
@@ -95,7 +96,7 @@ def test_only_passing_faults_are_tried_again(spark, place, message, tries, monke
             raise RuntimeError(message)
         return spark.range(4)
 
-    outcomes = run_job(spark, flaky, place, JobSettings(DAY, attempts=3), FULL[:1])
+    outcomes = run_job(spark, flaky, place, JobSettings(DAY, full=PhaseSettings(attempts=3)), FULL[:1])
     assert len(calls) == tries
     assert outcomes[0].status == ("ok" if tries == 3 else "failed")
 
@@ -194,3 +195,43 @@ def test_partition_count_does_not_change_the_rows(spark):
         assert cut.agg(*total).first() == expected
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_settings_document():
+    document = {
+        "pipeline": {"name": "nightly"},
+        "snapshot": {"delete_existing_full_load_snapshot": False},
+        "delta": {"initial_cursor_value": "2020-01-01"},
+        "runtime": {"max_workers_full": 2, "full_load_max_attempts": 3, "delta_load_fail_fast": True, "exit_on_table_failures": True},
+    }
+    settings = settings_from(document, DAY, "full")
+    assert (settings.base_name, settings.floor, settings.mode) == ("nightly", "2020-01-01", "full")
+    assert settings.keep_existing_snapshot and settings.exit_on_failures
+    assert settings.full == PhaseSettings(2, 3)
+    assert settings.delta == PhaseSettings(4, 3, stop_on_failure=True)
+    assert settings_from({}, DAY).floor is None
+
+
+def test_command_line(spark, tmp_path):
+    configs = tmp_path / "configs"
+    for mode, entry in (
+        ("full_load", {"schema": "public", "table": "orders", "columns": ["o_orderkey", "o_orderdate"]}),
+        ("delta_load", {"schema": "public", "table": "orders", "cursor_column": "o_orderdate"}),
+    ):
+        (configs / mode).mkdir(parents=True)
+        (configs / mode / "shop.json").write_text(json.dumps({"tables": [entry]}))
+    arguments = ["--configs", str(configs), "--parquet", "/root/testdata/sf0.001", "--root", str(tmp_path / "out"), "--day", DAY]
+    assert main.run(spark, [*arguments, "--summary-id", "job-1"]) == 0
+    place = Layout(str(tmp_path / "out"))
+    assert read_snapshot(spark, place, "orders", DAY).columns == ["o_orderkey", "o_orderdate"]
+    total = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert read_delta_log(spark, place, "orders").count() == total
+    assert spark.read.json(place.summary(DAY, "job-1")).count() == 4
+    assert main.run(spark, [*arguments, "--mode", "delta"]) == 0
+    assert read_delta_log(spark, place, "orders").count() == total
+    with pytest.raises(ValueError, match="no tables selected"):
+        main.run(spark, [*arguments, "--table", "nothing"])
+    settings = tmp_path / "settings.json"
+    settings.write_text(json.dumps({"runtime": {"exit_on_table_failures": True}}))
+    wrong = [*arguments[:2], "--parquet", str(tmp_path), *arguments[4:]]
+    assert main.run(spark, [*wrong, "--settings", str(settings)]) == 1
