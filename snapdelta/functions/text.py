@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # The ASCII characters PostgreSQL's \\s matches, and all Unicode whitespace.
@@ -55,14 +57,12 @@ def number_text(value: Column | str) -> Column:
     raw = value.cast("string")
     size = F.abs(value)
     short = F.when(raw.endswith(".0"), F.left(raw, F.length(raw) - 2)).otherwise(raw)
-    # From here on Spark wrote an exponent. The rare forms are worked out inside a lambda, which keeps
-    # the generated code of a wide projection small enough for the JVM to compile.
+    # From here on Spark wrote an exponent.
     whole = value.cast("bigint").cast("string")
-    rare = F.get(F.transform(F.array(raw), _with_exponent), F.lit(0))
     return (
         F.when(~F.contains(raw, F.lit("E")), short)
         .when((size >= 1e7) & (size < 1e15) & (value == F.rint(value)), whole)
-        .otherwise(rare)
+        .otherwise(once(raw, _with_exponent))
     )
 
 
@@ -106,10 +106,21 @@ def _each_replaced(value: Column, characters: str, by: str) -> Column:
     return value
 
 
+def once(value: Column, step: Callable[[Column], Column]) -> Column:
+    """``step(value)`` with ``value`` worked out once, however often the step names it.
+
+    The step runs inside a lambda, outside the generated code: a wide projection stays below the
+    method size up to which the JVM compiles.
+    """
+    return F.get(F.transform(F.array(value), step), F.lit(0))
+
+
 def _runs_to_one_space(value: Column, characters: str) -> Column:
-    spaced = _each_replaced(value, characters, " ")
-    collapsed = F.regexp_replace(spaced, " {2,}", " ")
-    return F.when(F.contains(spaced, F.lit("  ")), collapsed).otherwise(spaced)
+    def collapsed(spaced: Column) -> Column:
+        has_runs = F.contains(spaced, F.lit("  "))
+        return F.when(has_runs, F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
+
+    return once(_each_replaced(value, characters, " "), collapsed)
 
 
 def newlines_to_spaces(value: Column | str) -> Column:

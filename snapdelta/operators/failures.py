@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapdelta.functions.text import lines, one_spaced, strip
+from snapdelta.functions.text import lines, once, one_spaced, strip
 
 # Lower-case pieces of messages that mark a schema or logic failure.
 SCHEMA_MARKERS = (
@@ -156,10 +156,13 @@ def is_exhaustion(exc_type: Column | str, message: Column | str) -> Column:
     )
 
 
+def _shortened(text: Column, longest: int, kept: int) -> Column:
+    cut = F.concat(F.substring(text, 1, kept), F.lit("…"))
+    return F.when(F.char_length(text) > longest, cut).otherwise(text)
+
+
 def _short_type(text: Column) -> Column:
-    spaced = one_spaced(strip(text))
-    cut = F.concat(F.substring(spaced, 1, TYPE_CHARS - 3), F.lit("…"))
-    return F.when(F.char_length(spaced) > TYPE_CHARS, cut).otherwise(spaced)
+    return once(one_spaced(strip(text)), lambda t: _shortened(t, TYPE_CHARS, TYPE_CHARS - 3))
 
 
 def block_columns(block: Column) -> Column:
@@ -265,13 +268,8 @@ def with_plain_summary(df: DataFrame, detail: str, name: str = "plain") -> DataF
     text = F.when(text.startswith("<class '"), unwrapped).otherwise(text)
     first_telling = F.get(F.filter(F.slice("_lines", 1, SCANNED_LINES), telling), F.lit(0))
     line = F.coalesce(first_telling, F.get("_lines", F.lit(0)), F.lit(""))
-    cut = F.concat(F.substring("_line", 1, LINE_CHARS - 1), F.lit("…"))
-    return (
-        df.withColumn("_lines", lines(text))
-        .withColumn("_line", one_spaced(line))
-        .withColumn(name, F.when(F.char_length("_line") > LINE_CHARS, cut).otherwise(F.col("_line")))
-        .drop("_lines", "_line")
-    )
+    summary = once(one_spaced(line), lambda t: _shortened(t, LINE_CHARS, LINE_CHARS - 1))
+    return df.withColumn("_lines", lines(text)).withColumn(name, summary).drop("_lines")
 
 
 def with_digest(df: DataFrame, entry: str, name: str = "digest") -> DataFrame:
