@@ -67,6 +67,7 @@ class JobSettings:
     delta: PhaseSettings = PhaseSettings()
     exit_on_failures: bool = False
     rows_per_file: int = 0
+    order_first_load: bool = False
 
     def __post_init__(self):
         if self.mode not in ("full", "delta", "both"):
@@ -179,6 +180,7 @@ def run_job(
             settings.floor,
             run_id,
             settings.rows_per_file,
+            settings.order_first_load,
         )
 
     outcomes = _phase(spark, "FULL", full, settings.full, one_full)

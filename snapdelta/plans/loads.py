@@ -11,7 +11,7 @@ from snapdelta.config import DeltaLoad, FullLoad
 from snapdelta.operators.cursor import above, first_floor, in_cursor_order
 from snapdelta.operators.projection import quoted
 from snapdelta.operators.schema import stable_text, text_for_complex
-from snapdelta.sinks.landing import SnapshotWriter, even_files, write_files
+from snapdelta.sinks.landing import SnapshotWriter, even_files, write_run
 from snapdelta.sinks.layout import Layout
 from snapdelta.state.watermark import WatermarkTable, state_key, stored_text
 
@@ -50,6 +50,7 @@ def load_delta(
     floor=None,
     run_id: str | None = None,
     rows_per_file: int = 0,
+    order_first_load: bool = False,
 ) -> Landed:
     """Land the rows above the saved cursor (or the floor), then save the new cursor.
 
@@ -68,19 +69,15 @@ def load_delta(
     data_type = rows.schema[load.cursor_column].dataType
 
     chosen = extract(rows, load, cutoff)
-    # A later increment keeps few rows of each scan task. A first load keeps most of them, so its
-    # files follow the scan without a shuffle.
+    # A later increment keeps few rows of each scan task: they are gathered and put in cursor order.
+    # A first load keeps most rows, so its files follow the scan: no shuffle, and a sort only on request.
     if not first:
         chosen = even_files(chosen)
-    ordered = in_cursor_order(chosen, load.cursor_column)
+    if order_first_load or not first:
+        chosen = in_cursor_order(chosen, load.cursor_column)
     folder = f"{layout.delta(load.output_name, day)}/{run_id}"
-    metrics = write_files(
-        ordered,
-        folder,
-        "overwrite",
-        rows_per_file,
-        finish=stable_types,
-        high=stored_text(F.max(cursor), data_type),
+    metrics = write_run(
+        chosen, folder, rows_per_file, stable_types, high=stored_text(F.max(cursor), data_type)
     )
     watermarks.advance(
         key, metrics["high"], data_type.simpleString(), metrics["n_rows"], run_id, after=saved

@@ -10,12 +10,19 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from snapdelta.sinks.folders import Folders
 
 
+Step = Callable[[DataFrame], DataFrame]
+
+
+def _unchanged(df: DataFrame) -> DataFrame:
+    return df
+
+
 def write_files(
     df: DataFrame,
     folder: str,
     mode: str,
     rows_per_file: int = 0,
-    finish: Callable[[DataFrame], DataFrame] = lambda df: df,
+    finish: Step = _unchanged,
     **metrics: Column,
 ) -> dict:
     """Write Parquet and return ``n_rows`` and the given metrics, all taken during the write.
@@ -36,6 +43,16 @@ def write_files(
     return seen.get
 
 
+def write_run(
+    df: DataFrame, folder: str, rows_per_file: int = 0, finish: Step = _unchanged, **metrics: Column
+) -> dict:
+    """Write one run of an increment to a folder of its own; a run without rows leaves no files."""
+    found = write_files(df, folder, "overwrite", rows_per_file, finish, **metrics)
+    if not found["n_rows"]:
+        Folders(df.sparkSession).delete(folder)
+    return found
+
+
 def replace_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0, in_place: bool = False) -> int:
     """Put ``df`` in place of the folder's files.
 

@@ -11,7 +11,7 @@ from snapdelta.config import DeltaLoad
 from snapdelta.operators.cursor import first_floor, in_cursor_order
 from snapdelta.operators.projection import quoted
 from snapdelta.plans.loads import extract, stable_types
-from snapdelta.sinks.landing import write_files
+from snapdelta.sinks.landing import write_run
 from snapdelta.sinks.layout import Layout
 from snapdelta.sources.tables import projected
 from snapdelta.state.watermark import WatermarkTable, state_key, stored_text
@@ -52,10 +52,9 @@ def land_stream(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{stream}-{batch_id}"
-        metrics = write_files(
+        metrics = write_run(
             in_cursor_order(batch, load.cursor_column),
             f"{layout.delta(load.output_name, day)}/{run_id}",
-            "overwrite",
             finish=stable_types,
             high=stored_text(F.max(cursor), data_type),
         )

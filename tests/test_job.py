@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,6 +143,18 @@ def test_equal_configs_do_not_overwrite_each_other(spark, place, source):
     assert read_delta_log(spark, place, "td").count() == 3
 
 
+def test_many_tables_at_once_keep_their_state_apart(spark, place, source):
+    loads = [DeltaLoad("a", "s", "t", f"out{i}", cursor_column="id") for i in range(16)]
+    settings = JobSettings(DAY, delta=PhaseSettings(parallel_tables=16))
+    for rows in (4, 0):
+        outcomes = run_job(spark, source, place, replace(settings, floor="0"), (), loads)
+        assert [(o.status, o.n_rows) for o in outcomes] == [("ok", rows)] * 16
+    keys = [f"snapdelta__delta__a__s__out{i}" for i in range(16)]
+    state = WatermarkTable(spark, place.state)
+    assert sorted(r.state_key for r in state.history().collect()) == sorted(keys)
+    assert {state.lookup(key) for key in keys} == {4}
+
+
 def test_hooks_are_plain_functions_around_a_source(spark, place, source):
     def hooked(load):
         return source(load).filter("id > 2")

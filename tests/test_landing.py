@@ -141,7 +141,8 @@ def test_second_run_loads_only_what_is_above(spark, place, data_type, first, sec
         assert run(spark, place, two).n_rows == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
-    assert run(spark, place, two).n_rows == 0
+    assert run(spark, place, two, run_id="empty").n_rows == 0
+    assert not Folders(spark).exists(f"{place.delta('out', DAY)}/empty")
     assert ids(read_delta_log(spark, place, "out")) == [1, 2, 3]
     key = state_key("snapdelta", "delta", "d", "s", "out")
     assert WatermarkTable(spark, place.state).saved(key).version == 2
@@ -217,6 +218,13 @@ def test_increments_are_gathered_into_few_files(spark, place):
     assert [r.c for r in landed.collect()] == list(range(900, 1000))
 
 
+def test_first_loads_are_sorted_on_request(spark, place):
+    backwards = spark.range(0, 100, 1, 1).select("id", (-F.col("id")).alias("c"))
+    run(spark, place, backwards, run_id="first", order_first_load=True)
+    landed = spark.read.parquet(f"{place.delta('out', DAY)}/first")
+    assert [r.c for r in landed.collect()] == list(range(-99, 1))
+
+
 def test_state_keys(spark):
     cases = [("-a.b-", "DELTA", "x-y", "public", "t_"), ("a", "full", "x_y", "p.q", "_t")]
     keys = [state_key(*case) for case in cases]
