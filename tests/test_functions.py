@@ -46,6 +46,13 @@ def test_array_literal(spark):
         (None, None),
         ([], "{}"),
         (["a", "b"], "{a,b}"),
+        (["a"], "{a}"),
+        ([""], '{""}'),
+        ([None], "{NULL}"),
+        (["a", "", "b"], '{a,"",b}'),
+        (["a,b", None], '{"a,b",NULL}'),
+        (["Null"], '{"Null"}'),
+        (["annulled", "x"], "{annulled,x}"),
         (["a", None], "{a,NULL}"),
         (["NULL", "null", ""], '{"NULL","null",""}'),
         (["b c", "x,y", "{", "}", "t\tt"], '{"b c","x,y","{","}","t\tt"}'),
