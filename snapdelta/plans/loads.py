@@ -29,7 +29,9 @@ def stable_types(df: DataFrame) -> DataFrame:
     return text_for_complex(stable_text(df))
 
 
-def load_full(rows: DataFrame, load: FullLoad, layout: Layout, day: str, writer: SnapshotWriter, rows_per_file: int = 0) -> Landed:
+def load_full(
+    rows: DataFrame, load: FullLoad, layout: Layout, day: str, writer: SnapshotWriter, rows_per_file: int = 0
+) -> Landed:
     """Scan, project, write. There is no shuffle; the files follow the scan's tasks."""
     folder = layout.snapshot(load.output_name, day)
     return Landed(writer.write(stable_types(rows), folder, rows_per_file), "full_table")

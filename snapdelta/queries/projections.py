@@ -98,7 +98,8 @@ def union_same_output(spark, folder):
     return union_outputs([source(load) for load in loads])
 
 
-_SNAPSHOT = "SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS amount, o_orderdate AS changed_at FROM orders"
+_SNAPSHOT = """SELECT o_orderkey AS order_id, o_orderstatus AS status, o_totalprice AS amount,
+                      o_orderdate AS changed_at FROM orders"""
 _CHANGES = """SELECT l_orderkey AS order_id, l_linestatus AS status, l_extendedprice AS amount,
                      l_shipdate AS changed_at
               FROM lineitem WHERE l_shipdate > TIMESTAMP '1999-01-01'"""
