@@ -4,7 +4,7 @@ import pytest
 
 from snapdelta.config import DeltaLoad, FullLoad, enabled_loads, read_loads, select_loads
 from snapdelta.sinks.layout import Layout, snapshot_date
-from snapdelta.sources.jdbc import Connection, bounds_query, source_query
+from snapdelta.sources.jdbc import Connection, bounds_query, postgres_tables, source_query
 from snapdelta.sources.tables import slice_number, slice_predicates
 
 YAML = """
@@ -107,3 +107,11 @@ def test_slices_cover_every_row_once(spark, lower, upper, slices):
             assert row.k not in found
             found[row.k] = number
     assert found == wanted
+
+
+@pytest.mark.parametrize("slices", [None, {"d.s.t": ("id", 0, 100, 4)}])
+def test_jdbc_reads_go_through_sparks_own_reader(spark, slices):
+    # No database here: the read gets as far as the driver class, which this image does not have.
+    source = postgres_tables(spark, {"d": Connection("host", "me", "secret", "shop")}, slices)
+    with pytest.raises(Exception, match="org.postgresql.Driver"):
+        source(FullLoad("d", "s", "t", columns=("id",)))
