@@ -106,7 +106,7 @@ ORACLES = {
     "op2_vector_dedup": """
         WITH RECURSIVE
         v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-              WHERE len(list_filter(embedding, x -> x <> 0)) > 0),
+              WHERE list_max(embedding) <> 0 OR list_min(embedding) <> 0),
         link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
                  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
         reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
