@@ -33,6 +33,9 @@ DARTS = BANDS * ROWS
 FIRST_RANK = 0.25
 #: Pivots a bucket is compared with before the rest is compared pair by pair.
 PIVOTS = 3
+#: What is left of a bucket is compared pair by pair up to this size; a larger rest (texts that share a common
+#: passage and little else) only where two texts share a second band as well, as similar ones do with 0.9995.
+SMALL = 64
 
 
 class Shingler:
@@ -167,6 +170,16 @@ def _pairs_with_pivot(entries: DataFrame, nth: int) -> DataFrame:
     return met.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 
+def _refined(entries: DataFrame, signed: DataFrame) -> DataFrame:
+    """Large buckets dealt out again by each second band of their members; small ones as they are."""
+    sized = entries.join(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")
+    small = sized.filter(F.col("n") <= SMALL).select("band", "node", "root")
+    bands = signed.filter(F.col("bands").isNotNull()).dropDuplicates(["node"])
+    second = sized.filter(F.col("n") > SMALL).join(bands, "node").select("node", "root", "band", F.explode("bands").alias("other")).filter("band != other")
+    dealt = second.select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "node", "root").distinct()
+    return small.unionByName(dealt)
+
+
 def _all_pairs(entries: DataFrame) -> DataFrame:
     """What is left: the members of a bucket that no chain of links holds together, pair by pair."""
     other = entries.select("band", F.col("node").alias("b"), F.col("root").alias("other_root"))
@@ -209,7 +222,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "d
     edges, compared, roots = None, None, None
     for turn in range(PIVOTS + 1):
         entries = kept(_open_entries(entries, roots))
-        pairs = _tidy(_all_pairs(entries) if turn == PIVOTS else _pairs_with_pivot(entries, turn))
+        pairs = _tidy(_all_pairs(_refined(entries, signed)) if turn == PIVOTS else _pairs_with_pivot(entries, turn))
         if compared is not None:
             pairs = pairs.join(compared, ["low", "high"], "left_anti")
         pairs = kept(pairs.select("low", "high", "a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b")))
