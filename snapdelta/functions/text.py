@@ -53,8 +53,10 @@ def number_text(value: Column | str) -> Column:
 
     Spark's own cast switches to ``1.0E7`` at ten million and always writes ``.0``.
     """
-    value = _column(value).cast("double")
-    raw = value.cast("string")
+    given = _column(value)
+    value = given.cast("double")
+    # a real keeps the digits it was written with, which a double would lengthen
+    raw = F.when(F.typeof(given) == "float", given.cast("string")).otherwise(value.cast("string"))
     size = F.abs(value)
     short = F.when(raw.endswith(".0"), F.left(raw, F.length(raw) - 2)).otherwise(raw)
     # From here on Spark wrote an exponent.

@@ -62,10 +62,6 @@ UNREADABLE_MISMATCH = "Arrow schema mismatch (see logs for full dump)"
 METADATA_MISMATCH = "Arrow schema mismatch — column sets equal but metadata differs (see logs)"
 MISMATCH_PREFIX = "Extract/schema mismatch: "
 WRAPPER_STARTS = ("Pipeline execution failed", "step=")
-LINE_CHARS = 450
-TYPE_CHARS = 72
-SHOWN_DIFFERENCES = 12
-SCANNED_LINES = 8
 
 # Unicode whitespace for patterns, spelled out so that every regex dialect reads it alike.
 SPACE = (
@@ -156,13 +152,8 @@ def is_exhaustion(exc_type: Column | str, message: Column | str) -> Column:
     )
 
 
-def _shortened(text: Column, longest: int, kept: int) -> Column:
-    cut = F.concat(F.substring(text, 1, kept), F.lit("…"))
-    return F.when(F.char_length(text) > longest, cut).otherwise(text)
-
-
-def _short_type(text: Column) -> Column:
-    return once(one_spaced(strip(text)), lambda t: _shortened(t, TYPE_CHARS, TYPE_CHARS - 3))
+def _spaced(text: Column) -> Column:
+    return one_spaced(strip(text))
 
 
 def block_columns(block: Column) -> Column:
@@ -190,7 +181,7 @@ def column_differences(in_table: Column, in_file: Column) -> Column:
         return F.try_element_at(F.filter(columns, lambda c: c["name"] == name), F.lit(-1))["type"]
 
     def text(c: Column) -> Column:
-        of_table, of_file = _short_type(c["of_table"]), _short_type(c["of_file"])
+        of_table, of_file = _spaced(c["of_table"]), _spaced(c["of_file"])
         lacks_table = F.concat(F.lit(" (missing in table chunk, file="), of_file)
         lacks_file = F.concat(F.lit(" (missing in file, table="), of_table)
         differs = F.concat(F.lit(" (table="), of_table, F.lit(" vs file="), of_file)
@@ -232,14 +223,11 @@ def with_mismatch_summary(df: DataFrame, detail: str, name: str = "mismatch") ->
     steps = steps.withColumn(
         "_differences", F.when(found > 0, column_differences(F.col("_in_table"), F.col("_in_file")))
     )
-    surplus = F.size("_differences") - SHOWN_DIFFERENCES
-    shown = F.array_join(F.slice("_differences", 1, SHOWN_DIFFERENCES), "; ")
-    more = F.when(surplus > 0, F.concat(F.lit("; … +"), surplus.cast("string"), F.lit(" more")))
     summary = (
         F.when(F.col("_around_table").isNull(), None)
         .when(F.col("_differences").isNull(), UNREADABLE_MISMATCH)
         .when(F.size("_differences") == 0, METADATA_MISMATCH)
-        .otherwise(F.concat(F.lit(MISMATCH_PREFIX), shown, F.coalesce(more, F.lit(""))))
+        .otherwise(F.concat(F.lit(MISMATCH_PREFIX), F.array_join("_differences", "; ")))
     )
     return steps.withColumn(name, summary).drop(
         "_around_table", "_around_file", "_in_table", "_in_file", "_differences"
@@ -251,14 +239,14 @@ def system_summary(detail: Column | str) -> Column:
     detail = F.col(detail) if isinstance(detail, str) else detail
     pattern = rf"\[Errno{SPACE}+([0-9]+)\]{SPACE}*([^\n]+)"
     number = _extracted(detail, "[Errno", pattern)
-    text = _short_type(_extracted(detail, "[Errno", pattern, 2))
+    text = _spaced(_extracted(detail, "[Errno", pattern, 2))
     return F.when(F.contains(detail, F.lit(NO_SPACE_TEXT)), NO_SPACE_SUMMARY).when(
         number != "", F.concat(F.lit("OS error errno="), number, F.lit(" "), text)
     )
 
 
 def with_plain_summary(df: DataFrame, detail: str, name: str = "plain") -> DataFrame:
-    """Add the first telling line of a message: wrapper lines skipped, whitespace collapsed, cut to fit."""
+    """Add the first telling line of a message: wrapper lines skipped, whitespace collapsed."""
 
     def telling(line: Column) -> Column:
         return ~reduce(lambda a, b: a | b, [line.startswith(start) for start in WRAPPER_STARTS])
@@ -266,14 +254,13 @@ def with_plain_summary(df: DataFrame, detail: str, name: str = "plain") -> DataF
     text = strip(detail)
     unwrapped = F.regexp_replace(text, rf"^<class '[^']+'>{SPACE}*\n?", "")
     text = F.when(text.startswith("<class '"), unwrapped).otherwise(text)
-    first_telling = F.get(F.filter(F.slice("_lines", 1, SCANNED_LINES), telling), F.lit(0))
+    first_telling = F.get(F.filter("_lines", telling), F.lit(0))
     line = F.coalesce(first_telling, F.get("_lines", F.lit(0)), F.lit(""))
-    summary = once(one_spaced(line), lambda t: _shortened(t, LINE_CHARS, LINE_CHARS - 1))
-    return df.withColumn("_lines", lines(text)).withColumn(name, summary).drop("_lines")
+    return df.withColumn("_lines", lines(text)).withColumn(name, one_spaced(line)).drop("_lines")
 
 
 def with_digest(df: DataFrame, entry: str, name: str = "digest") -> DataFrame:
-    """Add one line per failure: ``table — exception — summary``, at most 450 characters."""
+    """Add one line per failure: ``table — exception — summary``, whole."""
     steps = with_parsed_entry(df, entry, "_parsed").withColumn("_detail", F.col("_parsed.detail"))
     steps = with_mismatch_summary(steps, "_detail", "_mismatch")
     steps = steps.withColumn("_special", F.coalesce("_mismatch", system_summary("_detail")))
@@ -282,7 +269,6 @@ def with_digest(df: DataFrame, entry: str, name: str = "digest") -> DataFrame:
     steps = with_plain_summary(steps, "_message", "_plain")
     summary = F.coalesce("_special", "_plain")
     line = F.concat("_parsed.table_ref", F.lit(" — "), "_parsed.exc_type", F.lit(" — "), summary)
-    digest = F.substring(F.coalesce(line, F.col(entry)), 1, LINE_CHARS)
-    return steps.withColumn(name, digest).drop(
+    return steps.withColumn(name, F.coalesce(line, F.col(entry))).drop(
         "_parsed", "_detail", "_mismatch", "_special", "_message", "_plain"
     )

@@ -53,6 +53,13 @@ def parse_failure(spark, folder):
     return _parsed(spark, folder).drop("entry")
 
 
+def _whole(spark, folder):
+    """Every entry with its type and message; one that does not parse is all message."""
+    parsed = _parsed(spark, folder)
+    exc_type, detail = F.coalesce("exc_type", F.lit("")), F.coalesce("detail", "entry")
+    return parsed.select("doc_id", exc_type.alias("exc_type"), detail.alias("detail"))
+
+
 def _contains_any(pieces) -> str:
     return "(" + " OR ".join(f"contains(lower(detail), '{piece}')" for piece in pieces) + ")"
 
@@ -69,10 +76,10 @@ def _contains_any(pieces) -> str:
                OR (regexp_extract(detail, '\\[Errno\\s+([0-9]+)\\]', 1) = '22'
                    AND contains(lower(detail), 'number of bytes')) THEN 'transient'
           ELSE 'fatal' END AS failure_class
-        FROM ({_PARSED}) WHERE is_parsed""",
+        FROM (SELECT doc_id, COALESCE(exc_type, '') AS exc_type, COALESCE(detail, entry) AS detail FROM ({_PARSED}))""",
 )
 def classify_failure(spark, folder):
-    parsed = _parsed(spark, folder).filter("is_parsed")
+    parsed = _whole(spark, folder)
     return parsed.select("doc_id", failures.failure_class("exc_type", "detail").alias("failure_class"))
 
 
@@ -80,10 +87,10 @@ def classify_failure(spark, folder):
     "exhaustion_flag",
     f"""SELECT doc_id, exc_type = 'MemoryError' OR contains(detail, 'No space left on device')
                OR regexp_extract(detail, '\\[Errno\\s+([0-9]+)\\]', 1) = '28' AS is_exhausted
-        FROM ({_PARSED}) WHERE is_parsed""",
+        FROM (SELECT doc_id, COALESCE(exc_type, '') AS exc_type, COALESCE(detail, entry) AS detail FROM ({_PARSED}))""",
 )
 def exhaustion_flag(spark, folder):
-    parsed = _parsed(spark, folder).filter("is_parsed")
+    parsed = _whole(spark, folder)
     return parsed.select("doc_id", failures.is_exhaustion("exc_type", "detail").alias("is_exhausted"))
 
 
@@ -91,9 +98,8 @@ _SP = failures.SPACE
 _BREAK = r"\r\n|[\n-\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 
 
-def _short(text: str) -> str:
-    spaced = f"regexp_replace({text}, '{_SP}+', ' ', 'g')"
-    return f"CASE WHEN length({spaced}) > 72 THEN substr({spaced}, 1, 69) || '…' ELSE {spaced} END"
+def _spaced(text: str) -> str:
+    return f"regexp_replace({text}, '{_SP}+', ' ', 'g')"
 
 
 def _strip(text: str) -> str:
@@ -121,15 +127,14 @@ _MISMATCH = f"""dumps AS (
   block_lines AS ({_BLOCK_LINES}),
   differences AS (
     SELECT doc_id, name, t.type AS in_table, f.type AS in_file,
-           name || CASE WHEN t.type IS NULL THEN ' (missing in table chunk, file=' || {_short("f.type")} || ')'
-                        WHEN f.type IS NULL THEN ' (missing in file, table=' || {_short("t.type")} || ')'
-                        ELSE ' (table=' || {_short("t.type")} || ' vs file=' || {_short("f.type")} || ')' END AS difference
+           name || CASE WHEN t.type IS NULL THEN ' (missing in table chunk, file=' || {_spaced("f.type")} || ')'
+                        WHEN f.type IS NULL THEN ' (missing in file, table=' || {_spaced("t.type")} || ')'
+                        ELSE ' (table=' || {_spaced("t.type")} || ' vs file=' || {_spaced("f.type")} || ')' END AS difference
     FROM (SELECT * FROM block_lines WHERE side = 'table') t
     FULL JOIN (SELECT * FROM block_lines WHERE side = 'file') f USING (doc_id, name)
     WHERE t.type IS DISTINCT FROM f.type),
   mismatches AS (
-    SELECT doc_id, 'Extract/schema mismatch: ' || string_agg(difference, '; ' ORDER BY pos) FILTER (pos <= 12)
-           || CASE WHEN COUNT(*) > 12 THEN '; … +' || (COUNT(*) - 12) || ' more' ELSE '' END AS mismatch
+    SELECT doc_id, 'Extract/schema mismatch: ' || string_agg(difference, '; ' ORDER BY pos) AS mismatch
     FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY name) AS pos FROM differences)
     GROUP BY doc_id)"""
 
@@ -152,7 +157,7 @@ _PLAIN = f"""message_lines AS (
   numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM message_lines),
   plain AS (
     SELECT doc_id, COALESCE(
-      arg_min(line, n) FILTER (n <= 8 AND NOT starts_with(line, 'Pipeline execution failed')
+      arg_min(line, n) FILTER (NOT starts_with(line, 'Pipeline execution failed')
                                AND NOT starts_with(line, 'step=')),
       arg_min(line, n)) AS line
     FROM numbered GROUP BY doc_id)"""
@@ -164,13 +169,11 @@ _PLAIN = f"""message_lines AS (
        system AS (SELECT doc_id, regexp_extract(detail, '\\[Errno{_SP}+([0-9]+)\\]{_SP}*([^\\n]+)', 1) AS number,
                          {_strip(f"regexp_extract(detail, '[[]Errno{_SP}+([0-9]+)[]]{_SP}*([^{chr(92)}n]+)', 2)")} AS problem
                   FROM parsed)
-       SELECT doc_id, substr(CASE WHEN NOT is_parsed THEN entry ELSE table_ref || ' — ' || exc_type || ' — ' || CASE
+       SELECT doc_id, CASE WHEN NOT is_parsed THEN entry ELSE table_ref || ' — ' || exc_type || ' — ' || CASE
            WHEN mismatch IS NOT NULL THEN mismatch
            WHEN contains(detail, 'No space left on device') THEN 'Disk full (errno 28 No space left on device)'
-           WHEN number <> '' THEN 'OS error errno=' || number || ' ' || {_short("problem")}
-           WHEN length(regexp_replace(line, '{_SP}+', ' ', 'g')) > 450
-             THEN substr(regexp_replace(line, '{_SP}+', ' ', 'g'), 1, 449) || '…'
-           ELSE COALESCE(regexp_replace(line, '{_SP}+', ' ', 'g'), '') END END, 1, 450) AS digest
+           WHEN number <> '' THEN 'OS error errno=' || number || ' ' || {_spaced("problem")}
+           ELSE COALESCE(regexp_replace(line, '{_SP}+', ' ', 'g'), '') END END AS digest
        FROM parsed LEFT JOIN mismatches USING (doc_id) LEFT JOIN plain USING (doc_id)
        LEFT JOIN system USING (doc_id)""",
 )

@@ -91,15 +91,17 @@ def snapshot_path(spark, folder):
     return table(spark, folder, "orders").groupBy(path.alias("path")).agg(F.count("*").alias("n_rows"))
 
 
-@query("file_count", "SELECT COUNT(*) AS n_rows, TRUE AS within_limit FROM lineitem")
+#: Rows that a file holds at most.
+FILE_ROWS = 10_000
+
+
+@query("file_count", f"SELECT COUNT(*) AS n_rows, TRUE AS within_limit, COUNT(*) >= {FILE_ROWS} * 2 AS is_cut FROM lineitem")
 def file_count(spark, folder):
     """Files are cut at a row limit; every row is in one of them."""
     lines, place = table(spark, folder, "lineitem"), layout(spark).delta("lineitem", DAY)
-    # The limit grows with the table, so that the number of files does not.
-    limit = max(1_000, lines.count() // 8)
-    write_files(lines, place, "overwrite", rows_per_file=limit)
+    write_files(lines, place, "overwrite", rows_per_file=FILE_ROWS)
     per_file = spark.read.parquet(place).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
-    return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= limit).alias("within_limit"))
+    return per_file.agg(F.sum("n").alias("n_rows"), (F.max("n") <= FILE_ROWS).alias("within_limit"), (F.count("*") > 1).alias("is_cut"))
 
 
 _LOG = """SELECT CASE WHEN user_id % 2 = 0 THEN 'FULL' ELSE 'DELTA' END AS load_type, 'web' AS database,

@@ -56,23 +56,35 @@ def write_run(
 def replace_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0, in_place: bool = False) -> int:
     """Put ``df`` in place of the folder's files.
 
-    The rows are written beside the folder and moved in once complete. A failed write leaves the
-    old snapshot as it was, and a snapshot can be rebuilt from itself. Moving a folder is one step
-    on HDFS, but an object store copies every file: there, ``in_place`` deletes the old files first
-    and writes straight to the folder, at the price that a failed write leaves no snapshot.
+    The rows are written beside the folder; once they are complete the old folder is moved aside, the
+    new one in, and the old one deleted. A failed write leaves the old snapshot as it was, a failed
+    move puts it back, and a snapshot can be rebuilt from itself. Moving a folder is one step on HDFS,
+    but an object store copies every file: there, ``in_place`` deletes the old files first and writes
+    straight to the folder, at the price that a failed write leaves no snapshot.
     """
     if in_place:
         return write_files(df, folder, "overwrite", rows_per_file)["n_rows"]
     folders = Folders(df.sparkSession)
     parent, name = folder.rstrip("/").rsplit("/", 1)
-    incoming = f"{parent}/_incoming-{name}-{uuid.uuid4().hex[:12]}"
+    run = uuid.uuid4().hex[:12]
+    incoming, aside = f"{parent}/_incoming-{name}-{run}", f"{parent}/_replaced-{name}-{run}"
     try:
         n_rows = write_files(df, incoming, "errorifexists", rows_per_file)["n_rows"]
-        folders.delete(folder)
+    except BaseException:
+        folders.delete(incoming)
+        raise
+    if folders.exists(folder):
+        folders.move(folder, aside)
+    try:
         folders.move(incoming, folder)
     except BaseException:
+        # the new rows stay beside the folder until the old ones are back
+        if folders.exists(aside):
+            folders.delete(folder)
+            folders.move(aside, folder)
         folders.delete(incoming)
         raise
+    folders.delete(aside)
     return n_rows
 
 

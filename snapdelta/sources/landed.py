@@ -11,15 +11,19 @@ from snapdelta.sinks.layout import Layout
 
 
 def read_snapshot(spark: SparkSession, layout: Layout, table: str, day: str) -> DataFrame:
-    return spark.read.parquet(layout.snapshot(table, day))
+    """One day's snapshot, with the columns of all loads that share it."""
+    return spark.read.option("mergeSchema", True).parquet(layout.snapshot(table, day))
 
 
 def read_delta_log(
     spark: SparkSession, layout: Layout, table: str, days: Sequence[str] | None = None
 ) -> DataFrame:
-    """All runs of a delta table, or those of some days; only the named days' folders are listed."""
+    """All runs of a delta table, or those of some days; only the named days' folders are listed.
+
+    A column that only some runs have is NULL in the others; a changed type is an error that names it.
+    """
     folders = [layout.delta_log(table)] if days is None else [layout.delta(table, d) for d in days]
     found = [folder for folder in folders if Folders(spark).has_data(folder)]
     if not found:
         raise FileNotFoundError(f"no landed files for {table} under {folders}")
-    return spark.read.option("recursiveFileLookup", True).parquet(*found)
+    return spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*found)

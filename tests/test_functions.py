@@ -147,3 +147,7 @@ def test_functions_run_without_python_workers(spark):
     )
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_number_text_of_a_real(spark):
+    assert [r[0] for r in spark.sql("SELECT explode(array(float(0.1), float(1e20), float(3))) AS x").select(pg.number_text("x")).collect()] == ["0.1", "1e+20", "3"]

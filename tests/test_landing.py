@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 from snapdelta.config import DeltaLoad, FullLoad
 from snapdelta.plans.loads import load_delta, load_full
 from snapdelta.sinks.folders import Folders
-from snapdelta.sinks.landing import SnapshotWriter, append_snapshot, replace_snapshot, write_files
+from snapdelta.sinks.landing import SnapshotWriter, append_snapshot, replace_snapshot, write_files, write_run
 from snapdelta.sinks.layout import Layout
 from snapdelta.sources.landed import read_delta_log, read_snapshot
 from snapdelta.sources.tables import frames
@@ -51,6 +51,33 @@ def test_a_failed_write_leaves_the_old_snapshot(spark, tmp_path):
     assert os.listdir(tmp_path / "t") == ["day"]
 
 
+@pytest.mark.parametrize("step", [1, 2])
+def test_a_failed_move_leaves_the_old_snapshot(spark, tmp_path, monkeypatch, step):
+    folder = str(tmp_path / "t" / "day")
+    replace_snapshot(spark.range(5), folder)
+    moves = []
+    real = Folders.move
+
+    def failing(self, source, target):
+        moves.append(source)
+        if len(moves) == step:
+            raise OSError("no move")
+        real(self, source, target)
+
+    monkeypatch.setattr(Folders, "move", failing)
+    with pytest.raises(OSError):
+        replace_snapshot(spark.range(3), folder)
+    assert ids(spark.read.parquet(folder)) == [0, 1, 2, 3, 4]
+
+
+def test_a_delta_log_keeps_new_columns(spark, tmp_path):
+    place = Layout(str(tmp_path))
+    write_run(spark.sql("SELECT 1 AS c, 'a' AS v"), f"{place.delta('t', '2024/01/30')}/run1")
+    write_run(spark.sql("SELECT 2 AS c, 'b' AS v, 'x' AS extra"), f"{place.delta('t', '2024/01/31')}/run2")
+    rows = read_delta_log(spark, place, "t").orderBy("c").collect()
+    assert [row.asDict() for row in rows] == [{"c": 1, "v": "a", "extra": None}, {"c": 2, "v": "b", "extra": "x"}]
+
+
 def test_a_snapshot_can_be_rebuilt_from_itself(spark, tmp_path):
     folder = str(tmp_path / "day")
     replace_snapshot(spark.range(5), folder)
