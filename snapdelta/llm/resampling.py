@@ -103,7 +103,7 @@ class ResamplingModel:
         """The mean log ratio of a text's n-grams, so that long and short texts compare."""
         found = np.zeros(len(texts))
         at = 0
-        for some in chunks(texts, 2_000_000):
+        for some in chunks(texts, 500_000):
             buckets, owner = features.of(some)
             first, second = self.ratios[buckets]
             ratio = np.where(first * second > 0, np.where(np.abs(first) < np.abs(second), first, second), 0.0)
@@ -141,7 +141,7 @@ def _counts(marked: DataFrame) -> np.ndarray:
             texts = _texts(batch, "body")
             fits = np.array([part == FIT_GOOD for part in batch.column("part").to_pylist()], bool)
             at = 0
-            for some in chunks(texts, 2_000_000):
+            for some in chunks(texts, 500_000):
                 buckets, owner = features.of(some)
                 totals[0] += np.bincount(buckets.ravel(), minlength=TABLES * BUCKETS)
                 totals[1] += np.bincount(buckets[:, fits[at + owner]].ravel(), minlength=TABLES * BUCKETS)

@@ -10,7 +10,7 @@ import xxhash
 
 WORD = re.compile(r"\w+")
 #: Words that one task keeps the number of; beyond it the memory is emptied, which changes no result.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class WordNumbers(dict):
