@@ -48,7 +48,7 @@ CASES = [
     ("db.s.t: OSError: at x\n[Errno 5]  Input/output   error\nmore", "db.s.t — OSError — OS error errno=5 Input/output error"),
     (
         "db.s.t: OSError: [Errno 5] " + "x" * 100,
-        "db.s.t — OSError — OS error errno=5 " + "x" * 69 + "…",
+        "db.s.t — OSError — OS error errno=5 " + "x" * 100,
     ),
     (
         "db.s.t: E: <class 'x.Y'>\nPipeline execution failed at step\nstep=load\n\n  the   cause: here \nmore",
