@@ -18,12 +18,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from snapdelta.llm.frames import kept
 from snapdelta.llm.histogram import find_cuts
-from snapdelta.llm.words import REMEMBERED, WordNumbers, chunks, mixed
+from snapdelta.llm.words import chunks, mixed, text_hashes
 
 #: Labelled rows used at most, the ones with the smallest hash of their id; half fit, half set the cutoff.
 SAMPLE = 20_000
@@ -47,42 +48,36 @@ SAME = np.uint64(1)
 FIT_GOOD, CUT_GOOD, CUT_BAD = 1, 2, 3
 
 
-class StartNumbers(WordNumbers):
-    """The hash of the first letters of a word, remembered by word."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        number = self[word] = xxhash.xxh64_intdigest(word[:START].encode("utf-8", "surrogatepass"))
-        return number
-
-
 class Features:
     """Bucket numbers of the n-grams of texts. A word that repeats the one before is a mark of its own."""
 
-    def __init__(self):
-        self._numbers = WordNumbers()
-        self._starts = StartNumbers()
-
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The two buckets of each n-gram of the texts (two rows), and the position of its text."""
         split = [TOKEN.findall(text.lower()) for text in texts]
         lengths = np.array([len(words) for words in split], np.int64)
-        flat = [word for words in split for word in words]
-        numbers = self._numbers.of(flat)
         owner = np.repeat(np.arange(len(texts)), lengths)
-        if not len(numbers):
+        if not len(owner):
             return np.zeros((2, 0), np.int64), owner
+        # each different word is hashed once
+        coded = pa.array([word for words in split for word in words], pa.string()).dictionary_encode()
+        at = coded.indices.to_numpy()
+        numbers = text_hashes(coded.dictionary)
+        starts = mixed(text_hashes(pc.utf8_slice_codeunits(coded.dictionary, 0, START)), 13)
         follows = owner[1:] == owner[:-1]
-        marked = numbers.copy()
-        marked[1:][follows & (numbers[1:] == numbers[:-1])] = SAME
+        marked = numbers[at]
+        marked[1:][follows & (at[1:] == at[:-1])] = SAME
         pairs = mixed(mixed(marked[:-1], 7) + marked[1:], 11)[follows]
-        families = (marked, pairs, mixed(self._starts.of(flat), 13))
-        rows = [
-            np.concatenate([(found >> np.uint64(shift)) % np.uint64(BUCKETS) + np.uint64((2 * at + table) * BUCKETS) for at, found in enumerate(families)])
-            for table, shift in enumerate((0, 32))
-        ]
-        return np.stack(rows).astype(np.int64), np.concatenate([owner, owner[1:][follows], owner])
+        count = len(marked)
+        rows = np.empty((2, 2 * count + len(pairs)), np.int64)
+        for table, shift in enumerate((0, 32)):
+            rows[table, :count] = _buckets(marked, shift, table)
+            rows[table, count:-count] = _buckets(pairs, shift, 2 + table)
+            rows[table, -count:] = _buckets(starts, shift, 4 + table)[at]
+        return rows, np.concatenate([owner, owner[1:][follows], owner])
+
+
+def _buckets(hashes: np.ndarray, shift: int, table: int) -> np.ndarray:
+    return ((hashes >> np.uint64(shift)) & np.uint64(BUCKETS - 1)).astype(np.int64) + table * BUCKETS
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> list[str]:

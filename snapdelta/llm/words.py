@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 WORD = re.compile(r"\w+")
@@ -34,6 +35,23 @@ def mixed(numbers: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def text_hashes(texts: pa.StringArray) -> np.ndarray:
+    """A 64-bit hash of each text of an Arrow array: a sum over its bytes, each scrambled with its place."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    offsets -= offsets[0]
+    lengths = np.diff(offsets)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], lengths)
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(data + (place.astype(np.uint64) << np.uint64(8))))])
+    return mixed(running[offsets[1:]] - running[offsets[:-1]] + lengths.astype(np.uint64))
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    """The hash of each word; each different one is hashed once, and none is remembered."""
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    return text_hashes(coded.dictionary)[coded.indices.to_numpy()] if words else np.zeros(0, np.uint64)
+
+
 def shingles(numbers: np.ndarray, width: int) -> np.ndarray:
     """A number for each run of ``width`` words; a shorter text is one shingle of all its words."""
     if not len(numbers):
