@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapdelta.llm.components import components
 from snapdelta.llm.frames import kept, stored, text_of
-from snapdelta.llm.words import WORD, WordNumbers, chunks, mixed, shingles
+from snapdelta.llm.words import WORD, chunks, mixed, shingles, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -42,12 +42,11 @@ class Shingler:
     """Shingles of texts with their weights: 1 for each distinct shingle, or its count."""
 
     def __init__(self, width: int = WIDTH, counts: bool = False):
-        self._numbers = WordNumbers()
         self._width = width
         self._counts = counts
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        found, counts = np.unique(shingles(self._numbers.of(WORD.findall(text.lower())), self._width), return_counts=True)
+        found, counts = np.unique(shingles(word_hashes(WORD.findall(text.lower())), self._width), return_counts=True)
         return found, counts.astype(np.float64) if self._counts else np.ones(len(found))
 
 

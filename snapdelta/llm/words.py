@@ -3,30 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 
 WORD = re.compile(r"\w+")
 #: Words that one task keeps the number of; beyond it the memory is emptied, which changes no result.
 REMEMBERED = 150_000
 
 
-class WordNumbers(dict):
-    """The 64-bit hash of a word, remembered."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        number = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return number
-
-    def of(self, words: Sequence[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(numbers: np.ndarray, seed: int = 0) -> np.ndarray:
     """A scramble of 64-bit numbers (the finaliser of splitmix64)."""
     x = numbers + np.uint64(0x9E3779B97F4A7C15 * (seed + 1) & (2**64 - 1))
@@ -35,7 +21,7 @@ def mixed(numbers: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def text_hashes(texts: pa.StringArray) -> np.ndarray:
+def text_hashes(texts: pa.StringArray | pa.BinaryArray) -> np.ndarray:
     """A 64-bit hash of each text of an Arrow array: a sum over its bytes, each scrambled with its place."""
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
