@@ -7,6 +7,10 @@ and a block is looked into only if those bounds add up to the threshold. All ite
 threshold are retrieved, and a hit stands if enough of the item's five-word shingles are in the text
 around it, of its question and of its answer.
 
+Items lie in classes by their length. The passages of a class are at least twice as long as its longest
+item, so that a copy of an item of any length lies whole in some passage, wherever it stands; a hit is
+verified in its passages and as many words as the item has on both sides.
+
 The index is built in pieces of a bounded size, and each piece is taken to all passages.
 """
 
@@ -30,7 +34,8 @@ from snapdelta.llm.words import REMEMBERED, chunks
 K1, B = 1.2, 0.75
 #: Marks around a word.
 EDGES = string.punctuation + "“”‘’„…–—«»¿¡"
-#: Words of a passage; the next one starts half as many on.
+#: Words of the shortest passages, those of the items of up to half as many; those of longer items are twice as
+#: long, and so on. The next passage starts half as many words on.
 WINDOW = 64
 #: A passage is a hit if it scores this share of what the item scores against itself.
 SCORE = 0.55
@@ -38,7 +43,7 @@ SCORE = 0.55
 OVERLAP = 0.5
 PART_OVERLAP = 0.3
 SHINGLE = 5
-#: Items in a block, runs of blocks whose bounds are added up for every passage, and bytes of item text in a piece
+#: Items in a block, runs of blocks of a class whose bounds are added up for every passage, and bytes of item text in a piece
 #: of the index that is sent to all executors.
 BLOCK = 4
 RUNS = 32
@@ -72,29 +77,48 @@ def grams(words: list[str], width: int = SHINGLE) -> list[tuple[str, ...]]:
     return [tuple(words[at : at + width]) for at in range(max(1, len(words) - width + 1))] if words else []
 
 
+def window_of(count: int) -> int:
+    """Words of the passages that ask for an item of ``count`` words, marks that stand alone among them."""
+    window = WINDOW
+    while window < 2 * count:
+        window *= 2
+    return window
+
+
 def question_and_answer(words: list[str]) -> tuple[list[str], list[str]]:
     """An item without marked parts: its last quarter, at least a shingle, counts as the answer."""
     answer = min(len(words), max(SHINGLE, len(words) // 4))
     return (words[:-answer] or words), words[-answer:]
 
 
+@dataclass
+class LengthClass:
+    """The blocks from ``first`` up to ``end``, whose items are asked by passages of ``window`` words."""
+
+    window: int
+    first: int
+    end: int
+    run_bounds: np.ndarray
+
+
 @dataclass
 class Index:
-    """Blocks of items, the bounds of each word by block, and the postings within each block."""
+    """Blocks of items, each of one length class, the bounds of each word by block, and the postings within each block."""
 
     ids: list
     items: list[list[str]]
     rows: dict[str, int] = field(default_factory=dict)
     bounds: np.ndarray | None = None
-    run_bounds: np.ndarray | None = None
+    lengths: list[int] = field(default_factory=list)
+    classes: list[LengthClass] = field(default_factory=list)
     seen: Rows | None = None
     postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = field(default_factory=list)
 
     @classmethod
     def of(cls, items: list[tuple], frequency: dict[str, int], count: int, mean_words: float) -> Index:
         """``frequency``: in how many of all ``count`` items a word stands."""
-        ranked = sorted(((words_of(text), item) for item, text in items), key=lambda x: (x[0], str(x[1])))
-        made = cls([item for _, item in ranked], [words for words, _ in ranked])
+        ranked = sorted(((len(text.split()), words_of(text), item) for item, text in items), key=lambda x: (window_of(x[0]), x[1], str(x[2])))
+        made = cls([item for _, _, item in ranked], [words for _, words, _ in ranked], lengths=[length for length, _, _ in ranked])
         weights = []
         for words in made.items:
             tally: dict[str, int] = {}
@@ -107,11 +131,17 @@ class Index:
         for own in weights:
             for word in own:
                 made.rows.setdefault(word, len(made.rows))
-        blocks = -(-len(made.ids) // BLOCK)
+        windows = [window_of(length) for length in made.lengths]
+        block_of, blocks, spans = [], 0, []
+        for window in sorted(set(windows)):
+            count_of = windows.count(window)
+            block_of += [blocks + at // BLOCK for at in range(count_of)]
+            spans.append((window, blocks, blocks - (-count_of // BLOCK)))
+            blocks = spans[-1][2]
         made.bounds = np.zeros((len(made.rows), blocks), np.float32)
         lists: list[dict[int, tuple[list, list]]] = [{} for _ in range(blocks)]
         for at, own in enumerate(weights):
-            block = at // BLOCK
+            block = block_of[at]
             for word, x in own.items():
                 row = made.rows[word]
                 made.bounds[row, block] = max(made.bounds[row, block], np.nextafter(np.float32(x), np.float32(2)))
@@ -120,7 +150,9 @@ class Index:
                 weights_of.append(x)
         # no word is row -1, which bounds nothing
         made.bounds = np.vstack([made.bounds, np.zeros((1, blocks), np.float32)])
-        made.run_bounds = np.maximum.reduceat(made.bounds, np.arange(0, blocks, -(-blocks // RUNS)), axis=1) if blocks else made.bounds
+        for window, first, end in spans:
+            runs = np.arange(0, end - first, -(-(end - first) // RUNS))
+            made.classes.append(LengthClass(window, first, end, np.maximum.reduceat(made.bounds[:, first:end], runs, axis=1)))
         made.postings = [{row: (np.array(i), np.array(x)) for row, (i, x) in block.items()} for block in lists]
         return made
 
@@ -163,26 +195,26 @@ def passages(count: int, window: int = WINDOW) -> list[tuple[int, int]]:
     return [(at, min(count, at + window)) for at in range(0, max(1, count - step), step)]
 
 
-def _bounded(index: Index, numbers: list[np.ndarray], least: float) -> Iterator[tuple[int, int, int]]:
-    """(text, first word, end word) of the passages that some run of blocks allows to reach ``least``.
+def _bounded(own: LengthClass, numbers: list[np.ndarray], least: float) -> Iterator[tuple[int, int, int]]:
+    """(text, first word, end word) of the passages that some run of blocks of a class allows to reach ``least``.
 
     A passage is two halves; the greatest weights of a half's distinct words are added up for each run of
     blocks at once, for all texts."""
-    step = WINDOW // 2
-    lengths = np.array([len(own) for own in numbers], np.int64)
+    step = own.window // 2
+    lengths = np.array([len(rows) for rows in numbers], np.int64)
     halves = np.maximum(1, -(-lengths // step))
     first_half = np.concatenate([[0], np.cumsum(halves)])
     flat = np.concatenate(numbers)
     inside = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     half = np.repeat(first_half[:-1], lengths) + inside // step
     known = flat >= 0
-    width = len(index.bounds)
+    width = len(own.run_bounds)
     distinct = np.unique(half[known] * width + flat[known])
     at, rows = distinct // width, distinct % width
-    sums = np.zeros((first_half[-1], index.run_bounds.shape[1]), np.float32)
+    sums = np.zeros((first_half[-1], own.run_bounds.shape[1]), np.float32)
     if len(at):
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        sums[at[starts]] = np.add.reduceat(index.run_bounds[rows], starts, axis=0)
+        sums[at[starts]] = np.add.reduceat(own.run_bounds[rows], starts, axis=0)
     both = sums.copy()
     both[:-1] += sums[1:]
     last = first_half[1:] - 1
@@ -193,7 +225,7 @@ def _bounded(index: Index, numbers: list[np.ndarray], least: float) -> Iterator[
         start = (place - first_half[text]) * step
         # the last half of a text is a passage of its own only if it is the only one
         if start == 0 or start + step < lengths[text]:
-            yield int(text), int(start), int(min(lengths[text], start + WINDOW))
+            yield int(text), int(start), int(min(lengths[text], start + own.window))
 
 
 def hits_of(index: Index, texts: list[list[str]], least: float = SCORE) -> list[dict[int, tuple[float, int, int]]]:
@@ -202,13 +234,14 @@ def hits_of(index: Index, texts: list[list[str]], least: float = SCORE) -> list[
     if not texts or not index.ids:
         return found
     numbers = [index.numbers(words) for words in texts]
-    for text, start, end in _bounded(index, numbers, least):
-        rows = np.unique(numbers[text][start:end])
-        rows = rows[rows >= 0]
-        blocks = np.flatnonzero(index.bounds[rows].sum(axis=0, dtype=np.float64) >= least)
-        for item, score in index.wand(rows, blocks, least) if len(blocks) else ():
-            old = found[text].get(item)
-            found[text][item] = (score, start, end) if old is None else (max(score, old[0]), min(start, old[1]), max(end, old[2]))
+    for own in index.classes:
+        for text, start, end in _bounded(own, numbers, least):
+            rows = np.unique(numbers[text][start:end])
+            rows = rows[rows >= 0]
+            blocks = own.first + np.flatnonzero(index.bounds[rows, own.first : own.end].sum(axis=0, dtype=np.float64) >= least)
+            for item, score in index.wand(rows, blocks, least) if len(blocks) else ():
+                old = found[text].get(item)
+                found[text][item] = (score, start, end) if old is None else (max(score, old[0]), min(start, old[1]), max(end, old[2]))
     return found
 
 
@@ -246,7 +279,8 @@ def leaks_of(index: Index, texts: list[str], least: float = SCORE, overlap: floa
         for own, hits in zip(tokens, hits_of(index, tokens, least), strict=True):
             leaks = []
             for at, (score, start, end) in hits.items():
-                shares = verified(index.items[at], [word for token in own[start:end] if (word := bare(token))])
+                around = own[max(0, start - index.lengths[at]) : end + index.lengths[at]]
+                shares = verified(index.items[at], [word for token in around if (word := bare(token))])
                 if shares[0] >= overlap and min(shares[1:]) >= PART_OVERLAP:
                     leaks.append((index.ids[at], score, *shares, start, end))
             found.append(leaks)

@@ -151,6 +151,18 @@ def test_wand_finds_all_that_full_scores_find(benchmark):
         assert {i for i, _ in index.wand(rows, blocks, 0.3)} == {i for i, x in full.items() if x >= 0.3}
 
 
+@pytest.mark.parametrize("count", [30, 84, 90, 117, 120, 400])
+def test_a_copy_of_an_item_of_any_length_is_found_wherever_it_stands(count):
+    words = [f"w{at}" for at in range(3 * count)]
+    items = [("long", " ".join(words[:count])), ("marks", " — ".join(words[count : 2 * count])), ("short", " ".join(words[2 * count : 2 * count + 20]))]
+    frequency = Counter(w for _, t in items for w in set(decontaminate.words_of(t)))
+    index = decontaminate.Index.of(items, frequency, len(items), float(count))
+    step = max(own.window for own in index.classes) // 2
+    for item, text in items:
+        texts = [" ".join(["x"] * offset + [text] + ["y"] * (3 * step)) for offset in range(step if item == "long" else 33)]
+        assert [[leak[0] for leak in own] for own in decontaminate.leaks_of(index, texts)] == [[item]] * len(texts)
+
+
 def luhn(digits):
     return sum(sum(divmod(2 * int(d), 10)) if at % 2 else int(d) for at, d in enumerate(reversed(digits))) % 10 == 0
 
