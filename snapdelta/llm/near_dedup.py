@@ -9,7 +9,9 @@ looked into only as far as needed to fill all coordinates, so the work does not
 
 Texts that share a band of coordinates meet in a bucket. No bucket is expanded into all its pairs at
 once: its members are compared with one pivot, and only members that the links found so far do not
-already hold together go on to further pivots and at last to each other, so no link is lost.
+already hold together go on to further pivots and at last to each other, so no link is lost: in small
+buckets pair by pair, in large ones by a join on the rarest shingles of each text, cut so that each pair
+of enough similarity shares one, and by length and place (PPJoin).
 """
 
 from __future__ import annotations
@@ -33,9 +35,13 @@ DARTS = BANDS * ROWS
 FIRST_RANK = 0.25
 #: Pivots a bucket is compared with before the rest is compared pair by pair.
 PIVOTS = 3
-#: What is left of a bucket is compared pair by pair up to this size; a larger rest (texts that share a common
-#: passage and little else) only where two texts share a second band as well, as similar ones do with 0.9995.
+#: An open bucket is compared pair by pair up to this size, and by the rarest shingles of its texts beyond it;
+#: both ways find all similar pairs, so the size decides on the cost alone.
 SMALL = 64
+#: Counters that say how common a shingle is, some shingles to each; they only order the shingles.
+COUNTERS = 1 << 18
+#: Slack of the bounds on sizes and overlaps, for the rounding of products.
+SLACK = 1e-6
 
 
 class Shingler:
@@ -169,20 +175,79 @@ def _pairs_with_pivot(entries: DataFrame, nth: int) -> DataFrame:
     return met.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 
-def _refined(entries: DataFrame, signed: DataFrame) -> DataFrame:
-    """Large buckets dealt out again by each second band of their members; small ones as they are."""
-    sized = entries.join(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")
-    small = sized.filter(F.col("n") <= SMALL).select("band", "node", "root")
-    bands = signed.filter(F.col("bands").isNotNull()).dropDuplicates(["node"])
-    second = sized.filter(F.col("n") > SMALL).join(bands, "node").select("node", "root", "band", F.explode("bands").alias("other")).filter("band != other")
-    dealt = second.select(F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("band"), "node", "root").distinct()
-    return small.unionByName(dealt)
+def _frequency(texts: DataFrame) -> np.ndarray:
+    """How often the shingles of each counter stand in the texts; as many numbers for any input."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, total = Shingler(), np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for some in chunks(batch.column("body").to_pylist(), 1_000_000):
+                found = np.concatenate([shingler.of(text)[0] for text in some])
+                total += np.bincount((found % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["counter", "n"])
+
+    counted = texts.select("body").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(COUNTERS, np.int64)
+    total[counted.column("counter").to_numpy()] = counted.column("n").to_numpy()
+    return total
 
 
-def _all_pairs(entries: DataFrame) -> DataFrame:
-    """What is left: the members of a bucket that no chain of links holds together, pair by pair."""
-    other = entries.select("band", F.col("node").alias("b"), F.col("root").alias("other_root"))
-    return entries.join(other, "band").filter("root != other_root AND node < b").select(F.col("node").alias("a"), "b")
+def _rarest(texts: DataFrame, least: float) -> DataFrame:
+    """(shingle, node, root, size, at, short): the rarest shingles of each text, ``at`` their place among all ``size`` in
+    the order from rare to common. Of two texts with a similarity of ``least``, the shorter one's ``short`` rows and
+    the other one's rows have the first shingle in common that both hold, in this order."""
+    frequency = texts.sparkSession.sparkContext.broadcast(_frequency(texts))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for batch in batches:
+            picked, sizes, shorts = [], [], []
+            for text in batch.column("body").to_pylist():
+                found, _ = shingler.of(text)
+                common = frequency.value[(found % np.uint64(COUNTERS)).astype(np.int64)]
+                sizes.append(len(found))
+                # an overlap of `least` of the longer one, and of 2 `least` / (1 + `least`) of the shorter one
+                shorts.append(len(found) - int(np.ceil(2 * least / (1 + least) * len(found) - SLACK)) + 1)
+                picked.append(found[np.lexsort((found, common))][: len(found) - int(np.ceil(least * len(found) - SLACK)) + 1])
+            counts = [len(own) for own in picked]
+            rows = pa.array(np.repeat(np.arange(len(counts)), counts))
+            at = np.concatenate([np.arange(count) for count in counts]) if counts else np.zeros(0, np.int64)
+            shingle = np.concatenate(picked).view(np.int64) if counts else np.zeros(0, np.int64)
+            columns = [
+                pa.array(shingle), batch.column("node").take(rows), batch.column("root").take(rows),
+                pa.array(np.repeat(sizes, counts), pa.int64()), pa.array(at, pa.int64()), pa.array(at < np.repeat(shorts, counts)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "node", "root", "size", "at", "short"])
+
+    return texts.select("node", "root", "body").mapInArrow(pick, "shingle long, node string, root string, size long, at long, short boolean")
+
+
+def _pairs_by_shingle(nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """All pairs of ``nodes`` of different roots that may be similar: those that share a rare shingle, and whose sizes
+    and what follows the shingle in both allow it."""
+    rare = kept(_rarest(kept(texts.join(nodes, "node")), least))
+    apart = rare.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    rare = rare.join(apart.select("shingle"), "shingle", "left_semi")
+    one = rare.filter("short").select("shingle", *[F.col(name).alias(f"a_{name}") for name in ("node", "root", "size", "at")])
+    other = rare.select("shingle", *[F.col(name).alias(f"b_{name}") for name in ("node", "root", "size", "at")])
+    shorter = (F.col("a_size") < F.col("b_size")) | ((F.col("a_size") == F.col("b_size")) & (F.col("a_node") < F.col("b_node")))
+    sizes = F.col("a_size") >= least * F.col("b_size") - SLACK
+    # at the first shingle in common, only what follows it in both can be in common too
+    most = F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at"))
+    overlap = most >= least / (1 + least) * (F.col("a_size") + F.col("b_size")) - SLACK
+    met = (one["shingle"] == other["shingle"]) & (F.col("a_root") != F.col("b_root")) & shorter & sizes & overlap
+    return one.join(other, met).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
+def _all_pairs(entries: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """What is left: the members of a bucket that no chain of links holds together, each pair that may be similar."""
+    sized = kept(entries.join(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band"))
+    small = sized.filter(F.col("n") <= SMALL).select("band", "node", "root")
+    other = small.select("band", F.col("node").alias("b"), F.col("root").alias("other_root"))
+    pairs = small.join(other, "band").filter("root != other_root AND node < b").select(F.col("node").alias("a"), "b")
+    large = kept(sized.filter(F.col("n") > SMALL).select("node", "root").distinct())
+    return pairs if large.isEmpty() else pairs.unionByName(_pairs_by_shingle(large, texts, least))
 
 
 def _tidy(pairs: DataFrame) -> DataFrame:
@@ -221,7 +286,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "d
     edges, compared, roots = None, None, None
     for turn in range(PIVOTS + 1):
         entries = kept(_open_entries(entries, roots))
-        pairs = _tidy(_all_pairs(_refined(entries, signed)) if turn == PIVOTS else _pairs_with_pivot(entries, turn))
+        pairs = _tidy(_all_pairs(entries, texts, least) if turn == PIVOTS else _pairs_with_pivot(entries, turn))
         if compared is not None:
             pairs = pairs.join(compared, ["low", "high"], "left_anti")
         pairs = kept(pairs.select("low", "high", "a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b")))

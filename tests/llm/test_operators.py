@@ -287,6 +287,24 @@ def test_a_chain_of_near_copies_in_one_bucket_keeps_its_links(spark, monkeypatch
     assert {r["doc_id"]: r["class_id"] for r in found.collect()} == classes_by_brute_force(texts)
 
 
+def test_a_large_bucket_that_its_texts_share_alone_keeps_all_links(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "band_keys", lambda marks: np.zeros((len(marks), 1), np.int64))
+    rng = np.random.default_rng(7)
+    shared = [f"s{at}" for at in range(30)]
+    texts = {}
+    for at in range(80):
+        words = [*shared, *[f"w{at}_{j}" for j in range(int(rng.integers(5, 150)))]]
+        texts[2 * at] = " ".join(words)
+        # copies on both sides of the threshold: some with words changed, some cut, some longer
+        changed = rng.integers(0, len(words), at % 4)
+        copy = [f"x{j}" if j in changed else word for j, word in enumerate(words)][: len(words) - 3 * (at % 7)]
+        texts[2 * at + 1] = " ".join([*copy, *[f"y{j}" for j in range(4 * (at % 5))]])
+    want = classes_by_brute_force(texts)
+    assert 100 < len(set(want.values())) < 140
+    found = near_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == want
+
+
 def test_near_duplicates_of_odd_rows(odd):
     rows = near_dedup.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
