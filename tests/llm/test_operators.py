@@ -338,6 +338,25 @@ def test_suffix_tree_learns_contexts(spark):
     assert all(whole[i] > base[i] + 20 for i in whole) and whole == pytest.approx(blocks)
 
 
+def test_suffix_tree_keeps_weak_entries(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(60):
+        words = [f"f{at}" for at in rng.integers(0, 200, 100)]
+        words[10] = words[20] = words[30] = words[40] = "alpha"
+        words[50] = words[60] = "beta"
+        if i % 2:
+            words[11], words[50] = "beta", words[11]
+        rows.append((i, " ".join(words)))
+    trained = [text.split() for i, text in rows if zlib.crc32(str(i).encode()) % 10]
+    alpha, beta = (sum(words.count(word) for words in trained) for word in ("alpha", "beta"))
+    n, hoped = sum(words[11] == "beta" for words in trained), alpha * beta / sum(len(words) + 1 for words in trained)
+    gain = n * math.log(n / hoped) - (n - hoped)
+    assert alpha >= 100 and 20 < gain < 40
+    found = suffix_tree.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["score"] > r["base_score"] + 0.4 for r in found if r["doc_id"] % 2)
+
+
 def test_quality_model_parts_good_from_bad(spark):
     rng = np.random.default_rng(2)
     good, bad = [f"fine{i}" for i in range(60)], [f"foul{i}" for i in range(12)]
