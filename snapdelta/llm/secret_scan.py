@@ -3,6 +3,7 @@
 Fixed forms are found by pattern. Beyond them, a long run of key characters that follows a sensitive
 word is a candidate; its novelty is the number of bytes by which it lengthens the zstandard frame of
 the code and prose around it, the compressor being primed with a dictionary of common identifiers.
+Other places of the same string around it are blanked, so that a repeated secret does not explain itself.
 Words and names that the surroundings or the dictionary know cost little; random strings cost
 nearly a byte a character or more, and are reported.
 """
@@ -31,7 +32,8 @@ SENSITIVE = (*ASSIGN_WORDS, "passphrase", "pwd", "credential", "private key", "a
 REACH = 48
 #: Characters on each side that a candidate is measured against.
 AROUND = 2_000
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+#: Key characters, with "=" only as padding behind them: before them it assigns.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 #: Bytes of frame for each character of a candidate from which on it is reported.
 NOVELTY = 0.8
 
@@ -77,7 +79,11 @@ class Novelty:
         self._compressor = zstandard.ZstdCompressor(level=9, dict_data=primed, write_content_size=False)
 
     def of(self, text: str, start: int, end: int, around: int = AROUND) -> float:
-        before, after = text[max(0, start - around) : start], text[end : end + around]
+        own = text[start:end].rstrip("=") or text[start:end]
+        # a place that the edge of the surroundings cuts is blanked too
+        blanked = lambda part: part.replace(own, " " * len(own))
+        before = blanked(text[max(0, start - around - len(own)) : start])[-around:]
+        after = blanked(text[end : end + around + len(own)])[:around]
         size = lambda body: len(self._compressor.compress(body.encode("utf-8", "surrogatepass")))
         return (size(before + text[start:end] + after) - size(before + after)) / (end - start)
 
@@ -94,12 +100,8 @@ def candidates(text: str) -> list[tuple[int, int]]:
             end = at + len(word)
             found.update(m.span() for m in CANDIDATE.finditer(text, end, min(len(text), end + REACH + 256)) if m.start() <= end + REACH)
             at = low.find(word, end)
-    whole = set()
-    for start, end in found:
-        while end < len(text) and (text[end].isascii() and (text[end].isalnum() or text[end] in "+/_=-")):
-            end += 1
-        whole.add((start, end))
-    return sorted(whole)
+    # the search may have cut the last run off
+    return sorted({CANDIDATE.match(text, start).span() for start, _ in found})
 
 
 def novel_spans(text: str, known: list[tuple[str, int, int]], novelty: Novelty, least: float = NOVELTY) -> list[tuple[str, int, int, float]]:

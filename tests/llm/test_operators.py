@@ -110,6 +110,19 @@ def test_secret_forms_and_novelty(spark, docs):
     assert all(sorted(found[i]) == sorted(want[i]) for i in want)
 
 
+def test_repeated_and_assigned_secrets_are_novel():
+    novelty = secret_scan.Novelty()
+    secret = "".join(np.random.default_rng(13).choice(list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"), 40))
+    found = lambda text: [text[s:e] for _, s, e, _ in secret_scan.novel_spans(text, [], novelty)]
+    prose = "the quick brown fox walks over the lazy dog and the configuration of the service. "
+    for gap in (0, 100, 1900, 1950, 1970, 1990):
+        between = (prose * 30)[:gap]
+        assert found(f"passphrase: {secret} {between} passphrase: {secret} {prose}") == [secret, secret]
+    assert found(f"{prose} DB_PWD={secret} {prose}") == [secret]
+    assert found(f"{prose} DB_PWD={secret}== {prose}") == [f"{secret}=="]
+    assert found(f"{prose} pwd={secret}{'Zq7' * 200} {prose}") in ([], [f"{secret}{'Zq7' * 200}"])
+
+
 def leaks_by_brute_force(docs, benchmark):
     items = {r["item_id"]: decontaminate.words_of(r["text"]) for r in benchmark.collect()}
     found = set()
