@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snapdelta.llm import (
     decontaminate,
+    lexical_search,
+    line_dedup,
     mixing,
     near_dedup,
     pii,
     resampling,
+    runs,
     secret_scan,
     sharding,
     suffix_tree,
@@ -86,6 +89,46 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.classify(given(spark, folder, "documents"), given(spark, folder, "labels"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.without_common_lines(given(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every tenth text by the CRC of its id, the end repeats a stretch of its words."""
+    digest = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    held = docs.select("doc_id", "text", digest.alias("h")).withColumn("words", F.when((F.col("h") % 10 == 0) & F.col("text").isNotNull(), words))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    held = held.withColumn("n", F.when(F.col("words").isNotNull() & (n > 0), n)).withColumn("a", (g % F.col("n")).cast("int"))
+    held = held.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int"))
+    own = F.transform("words", lambda word, at: F.when(at < F.col("a"), word).otherwise(F.get("words", F.col("a") + F.pmod(at - F.col("a"), F.col("p")))))
+    return held.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(own, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.find_runs(_planted(given(spark, folder, "documents")))
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda held, run: F.when(run["length"] > held["length"], run).otherwise(held),
+    )
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", *[run[name].cast("string") for name in ("start", "length", "period")]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = lexical_search.build_index(given(spark, folder, "documents"))
+    return lexical_search.search(index, given(spark, folder, "benchmark"))
+
+
 QUERIES = {
     function.__name__: function
     for function in (
@@ -99,6 +142,9 @@ QUERIES = {
         op8_near_dedup,
         op9_suffix_tree,
         op10_quality,
+        op11_line_dedup,
+        op12_periodic_runs,
+        op13_lexical_search,
     )
 }
 
@@ -135,4 +181,33 @@ ORACLES = {
                CAST(p.rounds * b.size + greatest(0, least(b.size, p.rest - b.below)) AS BIGINT) AS taken
         FROM b JOIN p ON b.source IS NOT DISTINCT FROM p.source
     """,
+    "op11_line_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT r, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM d),
+        k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        often AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+        s AS (SELECT r, count(*) AS n_lines, count(often.key) AS n_dropped,
+                     sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (often.key IS NULL), '')) AS kept_sha256
+              FROM k LEFT JOIN often ON k.key = often.key GROUP BY r)
+        SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM d JOIN s USING (r)
+    """,
+    "op13_lexical_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        q AS (SELECT row_number() OVER () AS item, item_id,
+                     list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms FROM benchmark),
+        asked AS (SELECT item, item_id, unnest(terms) AS term FROM q),
+        c AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+        t AS (SELECT r, unnest(terms) AS term FROM d),
+        tf AS (SELECT r, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * max(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term),
+        m AS (SELECT r, doc_id, 100 - 50 + (50 * len(terms) * n_docs) // n_terms AS m FROM d, c),
+        s AS (SELECT item, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+              FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY item, item_id, r, doc_id),
+        o AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, r) AS nth FROM s WHERE score > 0)
+        SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM o WHERE nth <= 50
+    """,
 }
