@@ -36,6 +36,8 @@ AT_ONCE = 4_000_000
 FIRST = 2 * RANKS
 #: Bytes of item text that are searched for in one pass over the blocks.
 PIECE_BYTES = 2_000_000
+#: Chosen documents are sent to the texts up to this size, and joined with them by a shuffle beyond it.
+BROADCAST_BYTES = 8_000_000
 
 #: Fixed values of the terms: A-Z in lower case; what is neither a letter, a digit nor beyond ASCII parts terms.
 _FOLD = bytes(
@@ -238,6 +240,9 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, int, np.ndarray,
 
 def _scored(index: Index, asked, chosen: DataFrame) -> DataFrame:
     """(item, row, id, score) of the chosen (row, items), from the texts; only scores above 0."""
+    docs, pairs = chosen.agg(F.count(F.lit(1)), F.sum(F.size("items"))).first()
+    if 40 * docs + 4 * (pairs or 0) <= BROADCAST_BYTES:
+        chosen = F.broadcast(chosen)
     id_type = index.rows.schema["id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

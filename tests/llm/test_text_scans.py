@@ -236,7 +236,9 @@ def test_search_of_odd_rows(spark, odd, ranks):
     assert lexical_search.search(lexical_search.build_index(odd.limit(0)), asked).count() == 0
 
 
-def test_search_ties_and_pieces(spark, monkeypatch):
+@pytest.mark.parametrize("most", [0, 8_000_000])
+def test_search_ties_and_pieces(spark, monkeypatch, most):
+    monkeypatch.setattr(lexical_search, "BROADCAST_BYTES", most)
     rng = random.Random(9)
     docs = [(nth, " ".join(rng.choice("abcdefghij") for _ in range(rng.choice([3, 3, 40])))) for nth in range(600)]
     docs += [(nth, text) for nth, text in docs[:30]]
