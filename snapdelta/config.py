@@ -15,6 +15,8 @@ class FullLoad:
 
     ``select_sql`` wins over ``columns`` when it is not blank; with neither, all columns are read.
     ``output_columns`` documents the result of a ``select_sql`` and only prunes a plain table scan.
+    ``read_slices`` is how many tasks should read the table from a database, by ranges of ``slice_columns``
+    (the later ones only where a value of the former is very frequent).
     """
 
     database: str
@@ -26,6 +28,8 @@ class FullLoad:
     output_columns: tuple[str, ...] | None = None
     enabled: bool = True
     extract_chunk_size: int | None = None
+    read_slices: int | None = None
+    slice_columns: tuple[str, ...] | None = None
 
     @property
     def output_name(self) -> str:
@@ -62,7 +66,7 @@ def load_from_entry(database: str, entry: dict, delta: bool) -> FullLoad:
     """One table entry of a config file as a record."""
     kind = DeltaLoad if delta else FullLoad
     known = {name: entry[name] for name in kind.__dataclass_fields__ if entry.get(name) is not None}
-    for listed in ("columns", "output_columns"):
+    for listed in ("columns", "output_columns", "slice_columns"):
         if listed in known:
             known[listed] = tuple(known[listed])
     if delta:

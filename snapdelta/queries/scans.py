@@ -10,7 +10,8 @@ from snapdelta.queries.inputs import layout, table
 from snapdelta.queries.registry import query
 from snapdelta.sinks.landing import SnapshotWriter, write_files
 from snapdelta.sources.landed import read_delta_log, read_snapshot
-from snapdelta.sources.tables import frames, parquet_tables, slice_number
+from snapdelta.sources.slices import FrameCounts, plan_slices, sliced
+from snapdelta.sources.tables import frames, parquet_tables
 
 
 @query("scan_full_table", "SELECT * FROM orders")
@@ -42,27 +43,11 @@ def scan_select_sql(spark, folder):
     return parquet_tables(spark, folder)(FullLoad("shop", "public", "lineitem", select_sql=select_sql))
 
 
-@query(
-    "partitioned_read",
-    """WITH bounds AS (SELECT MIN(l_orderkey) AS lo, MAX(l_orderkey) AS hi FROM lineitem),
-            sliced AS (
-              SELECT l_orderkey,
-                     LEAST(7, GREATEST(0, (l_orderkey - lo) // GREATEST(1, (hi - lo + 1) // 8))) AS slice_no
-              FROM lineitem, bounds)
-       SELECT CAST(slice_no AS BIGINT) AS slice_no, COUNT(*) AS n_rows, MIN(l_orderkey) AS lowest,
-              MAX(l_orderkey) AS highest
-       FROM sliced GROUP BY slice_no""",
-)
+@query("partitioned_read", "SELECT * FROM lineitem")
 def partitioned_read(spark, folder):
-    """The ranges a partitioned read would give its tasks, with the rows of each."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey")
-    lo, hi = lines.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
-    slice_no = slice_number("l_orderkey", lo, hi, 8).cast("bigint").alias("slice_no")
-    return lines.groupBy(slice_no).agg(
-        F.count("*").alias("n_rows"),
-        F.min("l_orderkey").alias("lowest"),
-        F.max("l_orderkey").alias("highest"),
-    )
+    """The table read once per condition of its slice plan, as a database table is; every row comes once."""
+    lines = parquet_tables(spark, folder)(FullLoad("shop", "public", "lineitem"))
+    return sliced(lines, plan_slices(FrameCounts(lines), ("l_suppkey", "l_orderkey"), 8))
 
 
 @query("read_snapshot", "SELECT * FROM orders")

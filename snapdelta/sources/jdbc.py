@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from snapdelta.config import DeltaLoad, FullLoad
-from snapdelta.operators.projection import nullable
-from snapdelta.sources.tables import Source, slice_predicates
+from snapdelta.operators.projection import nullable, prune
+from snapdelta.sources.slices import DatabaseCounts, plan_slices
+from snapdelta.sources.tables import Source
 
 DEFAULT_FETCH_ROWS = 100_000
 
@@ -55,7 +57,8 @@ def source_query(load: FullLoad) -> str:
     lists = {
         "select_sql": (load.select_sql or "").strip(),
         "columns": ", ".join(_name(c) for c in load.columns or ()),
-        "all": ", ".join(_name(c) for c in load.output_columns or ()) or "*",
+        # output_columns prune the frame, and Spark the query: names the table lacks are left out, as over Parquet
+        "all": "*",
     }
     query = f"SELECT {lists[load.projection]} FROM {_name(load.schema)}.{_name(load.table)}"
     if isinstance(load, DeltaLoad) and load.cursor_expression:
@@ -64,42 +67,36 @@ def source_query(load: FullLoad) -> str:
     return f"({query}) AS extract"
 
 
-def bounds_query(load: FullLoad, column: str) -> str:
-    """Smallest and largest value of a column over the same projection, in one round trip."""
-    return f"(SELECT MIN({_name(column)}) AS lo, MAX({_name(column)}) AS hi FROM {source_query(load)}) AS bounds"
+def planned_slices(load: FullLoad, rows: Callable[[str], Sequence]) -> list[str] | None:
+    """Conditions for a partitioned read of the load, by the counts that ``rows`` gets from the database for a
+    query text; None where the load asks for no slices."""
+    if not load.read_slices or load.read_slices < 2:
+        return None
+    if not load.slice_columns:
+        raise ValueError(f"{load.label}: read_slices needs slice_columns")
+    return plan_slices(DatabaseCounts(rows, source_query(load)), load.slice_columns, load.read_slices)
 
 
-def slices_of(
-    spark: SparkSession, connection: Connection, load: FullLoad, column: str, parts: int
-) -> tuple[str, int, int, int] | None:
-    """Even slices over a column's range, for ``postgres_tables``; None when there are no values."""
-    options = connection.options()
-    row = spark.read.format("jdbc").options(dbtable=bounds_query(load, column), **options).load().first()
-    return None if row.lo is None else (column, int(row.lo), int(row.hi), parts)
-
-
-def postgres_tables(
-    spark: SparkSession,
-    connections: dict[str, Connection],
-    slices: dict[str, tuple[str, int, int, int]] | None = None,
-) -> Source:
+def postgres_tables(spark: SparkSession, connections: dict[str, Connection]) -> Source:
     """Loads by database alias.
 
-    ``slices`` gives ``(column, lower, upper, parts)`` for the tables, by ``load.label``, that
-    should be read by several tasks; without it a table is one streaming read.
+    A load with ``read_slices`` is read by that many tasks or a few more, one per condition of its slice plan;
+    the others are one streaming read.
     """
 
     def rows(load: FullLoad) -> DataFrame:
-        fetch_rows = load.extract_chunk_size or DEFAULT_FETCH_ROWS
-        options = connections[load.database].options(fetch_rows)
-        cut = (slices or {}).get(load.label)
-        if cut is None:
+        options = connections[load.database].options(load.extract_chunk_size or DEFAULT_FETCH_ROWS)
+
+        def answered(query: str) -> Sequence:
+            return spark.read.format("jdbc").options(dbtable=f"({query}) AS plan", **options).load().collect()
+
+        conditions = planned_slices(load, answered)
+        if conditions is None:
             read = spark.read.format("jdbc").options(dbtable=source_query(load), **options).load()
         else:
             url = options.pop("url")
-            read = spark.read.jdbc(
-                url, source_query(load), predicates=slice_predicates(*cut), properties=options
-            )
-        return nullable(read)
+            read = spark.read.jdbc(url, source_query(load), predicates=conditions, properties=options)
+        kept = load.output_columns if load.projection == "all" else None
+        return nullable(prune(read, kept))
 
     return rows

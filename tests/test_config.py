@@ -4,8 +4,7 @@ import pytest
 
 from snapdelta.config import DeltaLoad, FullLoad, enabled_loads, read_loads, select_loads
 from snapdelta.sinks.layout import Layout, snapshot_date
-from snapdelta.sources.jdbc import Connection, bounds_query, postgres_tables, source_query
-from snapdelta.sources.tables import slice_number, slice_predicates
+from snapdelta.sources.jdbc import Connection, postgres_tables, source_query
 
 YAML = """
 tables:
@@ -90,28 +89,12 @@ def test_source_query_leaves_the_projection_to_the_database():
     assert source_query(delta) == f'(SELECT src.*, (GREATEST(a, "B")) AS "c" FROM ({inner}) AS src) AS extract'
     text = FullLoad("d", "public", "t", select_sql="id::text AS id\n")
     assert source_query(text) == '(SELECT id::text AS id FROM "public"."t") AS extract'
-    assert bounds_query(text, "id") == f'(SELECT MIN("id") AS lo, MAX("id") AS hi FROM {source_query(text)}) AS bounds'
     assert source_query(FullLoad("d", "s", "t")) == '(SELECT * FROM "s"."t") AS extract'
 
 
-@pytest.mark.parametrize("lower, upper, slices", [(0, 100, 7), (5, 5, 4), (-20, 3, 3), (0, 9, 1)])
-def test_slices_cover_every_row_once(spark, lower, upper, slices):
-    data = [(v,) for v in [None, *range(lower - 3, upper + 4)]]
-    frame = spark.createDataFrame(data, "k bigint")
-    numbers = frame.select("k", slice_number("k", lower, upper, slices).alias("n")).collect()
-    wanted = {r.k: r.n for r in numbers}
-    assert set(wanted.values()) <= set(range(slices))
-    found = {}
-    for number, condition in enumerate(slice_predicates("k", lower, upper, slices)):
-        for row in frame.filter(condition.replace('"', "`")).collect():
-            assert row.k not in found
-            found[row.k] = number
-    assert found == wanted
-
-
-@pytest.mark.parametrize("slices", [None, {"d.s.t": ("id", 0, 100, 4)}])
-def test_jdbc_reads_go_through_sparks_own_reader(spark, slices):
+@pytest.mark.parametrize("parts", [None, 4])
+def test_jdbc_reads_go_through_sparks_own_reader(spark, parts):
     # No database here: the read gets as far as the driver class, which this image does not have.
-    source = postgres_tables(spark, {"d": Connection("host", "me", "secret", "shop")}, slices)
+    source = postgres_tables(spark, {"d": Connection("host", "me", "secret", "shop")})
     with pytest.raises(Exception, match="org.postgresql.Driver"):
-        source(FullLoad("d", "s", "t", columns=("id",)))
+        source(FullLoad("d", "s", "t", columns=("id",), read_slices=parts, slice_columns=("id",)))
