@@ -16,12 +16,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapdelta.config import DeltaLoad, FullLoad
-from snapdelta.operators.compact import latest_per_key
+from snapdelta.operators.compact import latest_per_key, union_outputs
 from snapdelta.plans.loads import extract, load_delta, load_full
 from snapdelta.queries import QUERIES
 from snapdelta.queries.inputs import layout, order_lines
 from snapdelta.sinks.landing import SnapshotWriter
-from snapdelta.sources.landed import read_delta_log
+from snapdelta.sources.landed import read_delta_log, read_snapshot
 from snapdelta.sources.tables import frames, parquet_tables, projected
 from snapdelta.state.watermark import WatermarkTable
 
@@ -73,7 +73,7 @@ def cases(spark: SparkSession) -> dict:
 
     # The source table of the delta cases: order lines with both times, landed once.
     load_full(order_lines(spark, FOLDER), FullLoad("shop", "public", "order_lines"), place, DAY, SnapshotWriter())
-    stored = spark.read.parquet(place.snapshot("order_lines", DAY))
+    stored = read_snapshot(spark, place, "order_lines", DAY)
     rows = projected(stored, LINES)
     mark = rows.select(F.percentile_approx(F.unix_micros(F.col("row_cursor").cast("timestamp")), 0.9)).first()[0]
     mark = datetime(1970, 1, 1) + (datetime.fromtimestamp(mark / 1e6) - datetime.fromtimestamp(0))
@@ -83,7 +83,7 @@ def cases(spark: SparkSession) -> dict:
     twice = layout(spark)
     for run, seen in (("run1", stored), ("run2", stored.filter("quantity > 25"))):
         load_full(seen, FullLoad("shop", "public", "log"), twice, f"{DAY}/{run}", SnapshotWriter())
-    log = spark.read.option("recursiveFileLookup", True).parquet(f"{twice.snapshot('log', DAY)}")
+    log = union_outputs([read_snapshot(spark, twice, "log", f"{DAY}/{run}") for run in ("run1", "run2")])
 
     def snapshot():
         load_full(source(lines), lines, place, DAY, SnapshotWriter())

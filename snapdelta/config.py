@@ -17,6 +17,7 @@ class FullLoad:
     ``output_columns`` documents the result of a ``select_sql`` and only prunes a plain table scan.
     ``read_slices`` is how many tasks should read the table from a database, by ranges of ``slice_columns``
     (the later ones only where a value of the former is very frequent).
+    ``column_types`` declares types as (column, Spark type); values that do not fit are NULL and reported.
     """
 
     database: str
@@ -30,6 +31,7 @@ class FullLoad:
     extract_chunk_size: int | None = None
     read_slices: int | None = None
     slice_columns: tuple[str, ...] | None = None
+    column_types: tuple[tuple[str, str], ...] | None = None
 
     @property
     def output_name(self) -> str:
@@ -69,6 +71,8 @@ def load_from_entry(database: str, entry: dict, delta: bool) -> FullLoad:
     for listed in ("columns", "output_columns", "slice_columns"):
         if listed in known:
             known[listed] = tuple(known[listed])
+    if "column_types" in known:
+        known["column_types"] = tuple(dict(known["column_types"]).items())
     if delta:
         known["cursor_column"] = entry.get("cursor_column") or entry.get("cursor") or ""
     known["database"] = database

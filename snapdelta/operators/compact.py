@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -70,11 +71,14 @@ def current_state(
     if not unique_snapshot:
         return latest_per_key(union_outputs([snapshot, delta]), keys, cursor)
     newest = latest_per_key(delta, keys, cursor)
-    touched_keys = delta.select([quoted(name) for name in keys]).distinct()
-    touched = snapshot.join(touched_keys, list(keys), "left_semi")
-    untouched = snapshot.join(touched_keys, list(keys), "left_anti")
+    named = [F.col(quoted(name)).alias(f"_key_{nth}") for nth, name in enumerate(keys)]
+    touched_keys = delta.select(named).distinct()
+    # a NULL key is a key here, as it is in a grouping
+    same = reduce(and_, [F.col(quoted(name)).eqNullSafe(F.col(f"_key_{nth}")) for nth, name in enumerate(keys)])
+    touched = snapshot.join(touched_keys, same, "left_semi")
+    untouched = snapshot.join(touched_keys, same, "left_anti")
     compared = latest_per_key(union_outputs([touched, newest]), keys, cursor)
-    return union_outputs([untouched.select(compared.columns), compared])
+    return union_outputs([untouched, compared])
 
 
 def late_rows(arrivals: DataFrame, cursor: str, high_water_mark) -> DataFrame:

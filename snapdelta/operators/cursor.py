@@ -143,6 +143,15 @@ def cursor_bounds(df: DataFrame, cursor: str) -> DataFrame:
     return df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
 
 
+def bounds_above(df: DataFrame, cursor: str, marks: dict[str, object], name: str) -> DataFrame:
+    """The bounds of several extracts of the same rows, one row per mark, from one pass."""
+    column, data_type = F.col(quoted(cursor)), df.schema[cursor].dataType
+    chosen = [F.when(column > cursor_literal(mark, data_type), column) if mark is not None else column for mark in marks.values()]
+    bounds = df.agg(*[F.struct(F.min(each).alias("lo"), F.max(each).alias("hi")).alias(f"_{nth}") for nth, each in enumerate(chosen)])
+    rows = [F.struct(F.lit(mark).alias(name), F.col(f"_{nth}.lo").alias("lo"), F.col(f"_{nth}.hi").alias("hi")) for nth, mark in enumerate(marks)]
+    return bounds.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
 def describe_extract(df: DataFrame, cursor: str, last_value) -> DataFrame:
     """One row saying what an extract above ``last_value`` holds: mode, cutoff, bounds, rows.
 

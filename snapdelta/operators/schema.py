@@ -38,13 +38,60 @@ def stable_text(df: DataFrame, columns: Iterable[str] = STABLE_TEXT_COLUMNS) ->
     )
 
 
+# The column that holds what did not fit a declared type, as column name -> text.
+REJECTED = "_rejected"
+
+_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def nullable_schema(schema: T.StructType) -> T.StructType:
+    """The same columns, all of them allowed to be NULL."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
+def wider_type(left: T.DataType, right: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of both: whole numbers, decimals and reals by size, dates as
+    times, and text for what has no number or time in common. Nothing is rounded on the way."""
+    if left == right:
+        return left
+    names = {left.typeName(), right.typeName()}
+    if left in _WHOLE and right in _WHOLE:
+        return max(left, right, key=_WHOLE.index)
+    if names == {"float", "double"}:
+        return T.DoubleType()
+    exact = [T.DecimalType(_DIGITS[t.simpleString()], 0) if t in _WHOLE else t for t in (left, right)]
+    if all(isinstance(t, T.DecimalType) for t in exact):
+        scale = max(t.scale for t in exact)
+        digits = max(t.precision - t.scale for t in exact) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.StringType()
+    small = [t for t in (left, right) if t in _WHOLE[:3]]
+    if len(small) == 1 and names & {"float", "double"}:
+        return T.DoubleType()
+    if names == {"date", "timestamp_ntz"}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def widened(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """The columns of both, those of ``old`` first, in types that hold the values of both."""
+    if old is None:
+        return nullable_schema(new)
+    by_name = {f.name: f.dataType for f in new.fields}
+    known = [T.StructField(f.name, wider_type(f.dataType, by_name.get(f.name, f.dataType))) for f in old.fields]
+    names = set(old.fieldNames())
+    return T.StructType(known + [T.StructField(f.name, f.dataType) for f in new.fields if f.name not in names])
+
+
 def conform(df: DataFrame, schema: T.StructType, on_bad_value: str = "fail") -> DataFrame:
     """The declared columns, in order, in their declared types; missing ones are NULL.
 
-    ``on_bad_value``: ``fail`` stops on a value that does not fit, ``null`` writes NULL for it.
+    ``on_bad_value``: ``fail`` stops on a value that does not fit, ``null`` writes NULL for it, ``reject``
+    does so too and keeps the value's text in a last column ``_rejected`` (a map by column name, NULL in rows
+    without such a value).
     """
-    if on_bad_value not in ("fail", "null"):
-        raise ValueError("on_bad_value must be 'fail' or 'null'")
+    if on_bad_value not in ("fail", "null", "reject"):
+        raise ValueError("on_bad_value must be 'fail', 'null' or 'reject'")
     have = {f.name: f.dataType for f in df.schema.fields}
 
     def column(field: T.StructField) -> Column:
@@ -55,7 +102,26 @@ def conform(df: DataFrame, schema: T.StructType, on_bad_value: str = "fail") ->
             return value
         return value.cast(field.dataType) if on_bad_value == "fail" else value.try_cast(field.dataType)
 
-    return df.select([column(field).alias(field.name) for field in schema.fields])
+    columns = [column(field).alias(field.name) for field in schema.fields]
+    if on_bad_value == "reject":
+        if REJECTED in schema.fieldNames():
+            raise ValueError(f"a declared column is named {REJECTED}")
+        columns.append(_rejected(have, schema).alias(REJECTED))
+    return df.select(columns)
+
+
+def _rejected(have: dict[str, T.DataType], schema: T.StructType) -> Column:
+    """The values that their declared type does not hold, as texts by column name."""
+    found = []
+    for field in schema.fields:
+        if field.name in have and have[field.name] != field.dataType:
+            value = F.col(quoted(field.name))
+            lost = value.isNotNull() & value.try_cast(field.dataType).isNull()
+            found.append(F.when(lost, F.struct(F.lit(field.name), value.cast("string"))))
+    if not found:
+        return F.lit(None).cast("map<string,string>")
+    lost = F.array_compact(F.array(*found))
+    return F.when(F.size(lost) > 0, F.map_from_entries(lost))
 
 
 def text_for_complex(df: DataFrame) -> DataFrame:
@@ -92,8 +158,12 @@ def schema_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def merge_batches(batches: list[DataFrame], schema: T.StructType) -> DataFrame:
-    """Batches whose types drifted, as one frame of the declared schema."""
+def merge_batches(batches: list[DataFrame], schema: T.StructType | None = None) -> DataFrame:
+    """Batches whose columns or types drifted, as one frame of the declared schema, or of the narrowest one that
+    holds them all."""
     from snapdelta.operators.compact import union_outputs
 
+    if schema is None:
+        for batch in batches:
+            schema = widened(schema, batch.schema)
     return union_outputs([conform(batch, schema) for batch in batches])

@@ -5,14 +5,17 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from snapdelta.config import DeltaLoad, FullLoad
-from snapdelta.operators.cursor import above, first_floor, in_cursor_order
+from snapdelta.operators.cursor import above, first_floor, greatest_columns, in_cursor_order
 from snapdelta.operators.projection import quoted
-from snapdelta.operators.schema import stable_text, text_for_complex
-from snapdelta.sinks.landing import SnapshotWriter, even_files, write_run
+from snapdelta.operators.schema import REJECTED, conform, stable_text, text_for_complex
+from snapdelta.sinks.folders import Folders
+from snapdelta.sinks.landing import SnapshotWriter, even_files, mark_run, unmark_run, write_run
 from snapdelta.sinks.layout import Layout
+from snapdelta.sinks.manifest import write_manifest
+from snapdelta.state.schemas import SchemaStore
 from snapdelta.state.watermark import WatermarkTable, state_key, stored_text
 
 
@@ -21,7 +24,31 @@ class Landed:
     n_rows: int
     mode: str
     cutoff: object = None
+    low: str | None = None
     high: str | None = None
+    n_rejected: int = 0
+
+
+def declared(rows: DataFrame, load: FullLoad) -> DataFrame:
+    """The rows in the types that the load declares; what does not fit is NULL and kept in ``_rejected``."""
+    if not load.column_types:
+        return rows
+    types = dict(load.column_types)
+    unknown = sorted(set(types) - set(rows.columns))
+    if unknown:
+        raise ValueError(f"{load.label}: column_types names columns that are not read: {', '.join(unknown)}")
+    if isinstance(load, DeltaLoad) and load.cursor_column in types:
+        raise ValueError(f"{load.label}: the cursor column keeps its own type")
+    if REJECTED in rows.columns:
+        raise ValueError(f"{load.label}: a column is named {REJECTED}")
+    parsed = T.StructType.fromDDL(", ".join(f"{quoted(name)} {kind}" for name, kind in types.items()))
+    by_name = {field.name: field.dataType for field in parsed.fields}
+    wanted = T.StructType([T.StructField(f.name, by_name.get(f.name, f.dataType)) for f in rows.schema.fields])
+    return conform(rows, wanted, on_bad_value="reject")
+
+
+def _rejects(load: FullLoad) -> dict:
+    return {"n_rejected": F.count_if(F.col(REJECTED).isNotNull())} if load.column_types else {}
 
 
 def stable_types(df: DataFrame) -> DataFrame:
@@ -34,7 +61,8 @@ def load_full(
 ) -> Landed:
     """Scan, project, write. There is no shuffle; the files follow the scan's tasks."""
     folder = layout.snapshot(load.output_name, day)
-    return Landed(writer.write(stable_types(rows), folder, rows_per_file), "full_table")
+    found = writer.write(declared(rows, load), folder, rows_per_file, stable_types, **_rejects(load))
+    return Landed(found["n_rows"], "full_table", n_rejected=found.get("n_rejected", 0))
 
 
 def extract(rows: DataFrame, load: DeltaLoad, last_value) -> DataFrame:
@@ -42,6 +70,37 @@ def extract(rows: DataFrame, load: DeltaLoad, last_value) -> DataFrame:
     return above(rows, load.cursor_column, last_value, load.cursor_expression)
 
 
+def land_run(
+    rows: DataFrame, load: DeltaLoad, layout: Layout, day: str, run_id: str, rows_per_file: int = 0, manifest: bool = False
+) -> dict:
+    """Write one run of a table's log under the table's schema version, which the run widens if it has to.
+
+    Gives what ``write_run`` does, with the lowest and highest cursor as state text. ``manifest`` adds the
+    cursor's bounds per file, for readers that skip files by them.
+    """
+    spark, table = rows.sparkSession, load.output_name
+    log, folder = layout.delta_log(table), f"{layout.delta(table, day)}/{run_id}"
+    version, schema = SchemaStore(spark, layout.schemas).admit(table, stable_types(rows).schema)
+    Folders(spark).delete(folder)  # of an earlier try, maybe under another version
+    mark_run(spark, log, day, run_id, version)
+    cursor, data_type = F.col(quoted(load.cursor_column)), rows.schema[load.cursor_column].dataType
+    found = write_run(
+        rows,
+        folder,
+        rows_per_file,
+        lambda df: conform(stable_types(df), schema),
+        low=stored_text(F.min(cursor), data_type),
+        high=stored_text(F.max(cursor), data_type),
+        **_rejects(load),
+    )
+    if not found["n_rows"]:
+        unmark_run(spark, log, day, run_id)
+    elif manifest:
+        tracked = [load.cursor_column, *greatest_columns(load.cursor_expression)]
+        write_manifest(spark.read.schema(schema).parquet(folder), log, day, run_id, tracked)
+    return found
+
+
 def load_delta(
     rows: DataFrame,
     load: DeltaLoad,
@@ -53,12 +112,14 @@ def load_delta(
     run_id: str | None = None,
     rows_per_file: int = 0,
     order_first_load: bool = False,
+    manifest: bool = False,
 ) -> Landed:
     """Land the rows above the saved cursor (or the floor), then save the new cursor.
 
     The files come first and the state second: a crash in between repeats rows, never loses them,
     and a second attempt with the same ``run_id`` writes over the first one's files. The new cursor
-    is the highest one written, taken during the write. Each run needs an id of its own.
+    is the highest one written, taken during the write. Each run needs an id of its own. Types that
+    changed since the last run widen the log's schema; declared ones are kept to, and counted where not met.
     """
     run_id = run_id or uuid.uuid4().hex
     key = state_key(base_name, "delta", load.database, load.schema, load.output_name)
@@ -67,23 +128,16 @@ def load_delta(
         raise ValueError(f"{load.label}: run {run_id} is already complete")
     first = saved.value is None
     cutoff = first_floor(load.initial_value, floor) if first else saved.value
-    cursor = F.col(quoted(load.cursor_column))
     data_type = rows.schema[load.cursor_column].dataType
 
-    chosen = extract(rows, load, cutoff)
+    chosen = declared(extract(rows, load, cutoff), load)
     # A later increment keeps few rows of each scan task: they are gathered and put in cursor order.
     # A first load keeps most rows, so its files follow the scan: no shuffle, and a sort only on request.
     if not first:
         chosen = even_files(chosen)
     if order_first_load or not first:
         chosen = in_cursor_order(chosen, load.cursor_column)
-    folder = f"{layout.delta(load.output_name, day)}/{run_id}"
-    metrics = write_run(
-        chosen, folder, rows_per_file, stable_types, high=stored_text(F.max(cursor), data_type)
-    )
-    watermarks.advance(
-        key, metrics["high"], data_type.simpleString(), metrics["n_rows"], run_id, after=saved
-    )
+    found = land_run(chosen, load, layout, day, run_id, rows_per_file, manifest)
+    watermarks.advance(key, found["high"], data_type.simpleString(), found["n_rows"], run_id, after=saved)
     mode = "full_table" if cutoff is None else "incremental"
-    return Landed(metrics["n_rows"], mode, cutoff, metrics["high"])
-
+    return Landed(found["n_rows"], mode, cutoff, found["low"], found["high"], found.get("n_rejected", 0))

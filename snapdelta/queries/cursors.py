@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from snapdelta.config import enabled_loads
 from snapdelta.operators.compact import union_outputs
 from snapdelta.operators.cursor import (
+    bounds_above,
     coerce_cursor_columns,
-    cursor_bounds,
     describe_extract,
     first_floor,
     in_cursor_order,
@@ -28,7 +28,7 @@ from snapdelta.queries.inputs import (
     table,
 )
 from snapdelta.queries.registry import query
-from snapdelta.sources.landed import read_delta_log
+from snapdelta.sources.landed import log_bounds, read_above, read_delta_log
 from snapdelta.sources.tables import frames, parquet_tables
 from snapdelta.state.watermark import WatermarkTable
 
@@ -66,8 +66,33 @@ def delta_first_run(spark, folder):
     f"SELECT * FROM ({_GAPS_WITH_CURSOR}) WHERE row_cursor > TIMESTAMP '1970-01-01'",
 )
 def null_cursor_dropped(spark, folder):
-    """Any floor, however low, drops the rows without a cursor."""
-    return extract(_lines_with_gaps(spark, folder), LINE_LOAD, datetime(1970, 1, 1))
+    """Any floor, however low, drops the rows without a cursor. The rows come from a landed log, whose scan takes the
+    filter and opens only files whose bounds reach above the floor."""
+    place = layout(spark)
+    load_delta(_lines_with_gaps(spark, folder), LINE_LOAD, place, "2024/01/01", WatermarkTable(spark, place.state), manifest=True)
+    return read_above(spark, place, LINE_LOAD, datetime(1970, 1, 1))
+
+
+@query("increment_of_log", "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-21'")
+def increment_of_log(spark, folder):
+    """The rows of a log above a mark; the files of runs that end below it are not opened."""
+    return read_above(spark, _log_of_events(spark, folder), EVENT_LOAD, datetime(2024, 1, 21))
+
+
+def _log_of_events(spark, folder):
+    """Three runs of the events, each with the bounds of its files."""
+    events, place = table(spark, folder, "events"), layout(spark)
+    watermarks = WatermarkTable(spark, place.state)
+    for nth, until in enumerate(("2024-01-11", "2024-01-21", "2100-01-01"), 1):
+        rows = events.filter(F.col("ts") <= F.lit(until).cast("timestamp_ntz"))
+        load_delta(frames({"events": rows})(EVENT_LOAD), EVENT_LOAD, place, f"2024/02/0{nth}", watermarks, run_id=f"run{nth}", manifest=True)
+    return place
+
+
+@query("log_bounds", "SELECT MIN(ts) AS lo, MAX(ts) AS hi, COUNT(*) AS n_rows FROM events")
+def bounds_of_log(spark, folder):
+    """Bounds and rows of a whole log from the manifest; no landed row is read."""
+    return log_bounds(spark, _log_of_events(spark, folder), "events", "ts")
 
 
 @query(
@@ -159,13 +184,8 @@ def ordered_extract(spark, folder):
           FROM extracts WHERE row_cursor > TIMESTAMP '2100-01-01'""",
 )
 def bounds_of_extracts(spark, folder):
-    rows = _lines(spark, folder)
-    marks = {"above_mark": MARK, "empty": datetime(2100, 1, 1)}
-    bounds = [
-        cursor_bounds(extract(rows, LINE_LOAD, mark), "row_cursor").withColumn("extract", F.lit(name))
-        for name, mark in marks.items()
-    ]
-    return union_outputs(bounds)
+    """Both extracts' bounds from one pass over the rows."""
+    return bounds_above(_lines(spark, folder), "row_cursor", {"above_mark": MARK, "empty": datetime(2100, 1, 1)}, "extract")
 
 
 @query(

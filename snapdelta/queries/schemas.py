@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
+from snapdelta.config import FullLoad
 from snapdelta.operators.projection import nullable
-from snapdelta.operators.schema import conform, merge_batches, schema_difference, stable_text
-from snapdelta.queries.inputs import table
+from snapdelta.operators.schema import REJECTED, conform, merge_batches, schema_difference, stable_text
+from snapdelta.plans.loads import load_delta, load_full
+from snapdelta.queries.inputs import EVENT_LOAD, layout, table
 from snapdelta.queries.registry import query
+from snapdelta.sinks.landing import SnapshotWriter
+from snapdelta.sources.landed import read_delta_log, read_snapshot
+from snapdelta.sources.tables import frames, parquet_tables
+from snapdelta.state.watermark import WatermarkTable
 
 _ISO = """strftime({0}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond({0}) % 1000000 = 0 THEN ''
           ELSE strftime({0}, '.%f') END"""
@@ -47,11 +53,11 @@ _ORDER_SCHEMA = T.StructType(
     "conform_schema",
     """SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(18, 2)) AS price,
               o_orderdate AS placed_at, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS INTEGER) END AS rank,
-              CAST(NULL AS VARCHAR) AS note
+              CAST(NULL AS VARCHAR) AS note, CASE WHEN o_orderstatus = 'P' THEN '{"rank":"pending"}' END AS rejected
        FROM orders""",
 )
 def conform_schema(spark, folder):
-    """Text columns put into declared types; a value that does not fit is NULL, so is a missing column."""
+    """Text columns put into declared types; a value that does not fit is NULL and told apart, a missing column is NULL."""
     drifted = table(spark, folder, "orders").selectExpr(
         "CAST(o_orderdate AS string) AS placed_at",
         "CAST(CAST(o_totalprice AS decimal(18, 2)) AS string) AS price",
@@ -59,7 +65,52 @@ def conform_schema(spark, folder):
         "CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE CAST(o_orderkey AS string) END AS rank",
         "o_orderpriority AS undeclared",
     )
-    return conform(drifted, _ORDER_SCHEMA, on_bad_value="null")
+    found = conform(drifted, _ORDER_SCHEMA, on_bad_value="reject")
+    return found.select(*_ORDER_SCHEMA.fieldNames(), F.to_json(REJECTED).alias("rejected"))
+
+
+_DECLARED = FullLoad(
+    "web",
+    "public",
+    "events",
+    select_sql="event_id, CASE event_type WHEN 'error' THEN props ELSE CAST(user_id AS string) END AS number, CAST(ts AS string) AS seen_at",
+    column_types=(("number", "bigint"), ("seen_at", "timestamp_ntz")),
+)
+
+
+@query(
+    "rejected_values",
+    """SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS number, ts AS seen_at,
+              CASE event_type WHEN 'error' THEN '{"number":"' || replace(props, '"', '\\"') || '"}' END AS _rejected
+       FROM events""",
+)
+def rejected_values(spark, folder):
+    """A load whose config declares types: what does not fit is landed beside the row, not lost."""
+    place = layout(spark)
+    load_full(parquet_tables(spark, folder)(_DECLARED), _DECLARED, place, "2024/01/31", SnapshotWriter())
+    return read_snapshot(spark, place, "events", "2024/01/31")
+
+
+@query(
+    "delta_log_new_column",
+    """SELECT event_id, ts, CAST(user_id AS VARCHAR) AS user_id, CAST(CASE WHEN ts > TIMESTAMP '2024-01-11' AND ts <= TIMESTAMP '2024-01-21' THEN event_id / 4.0 ELSE event_id END AS DOUBLE) AS amount,
+              CASE WHEN ts > TIMESTAMP '2024-01-11' THEN event_type END AS event_type,
+              CASE WHEN ts > TIMESTAMP '2024-01-21' THEN props END AS props
+       FROM events""",
+)
+def delta_log_new_column(spark, folder):
+    """Three runs: the second brings a column and a wider number, the third a column and a text for a number."""
+    events, place = table(spark, folder, "events"), layout(spark)
+    watermarks = WatermarkTable(spark, place.state)
+    runs = [
+        ("2024-01-11", ["CAST(user_id AS int) AS user_id", "CAST(event_id AS int) AS amount"]),
+        ("2024-01-21", ["user_id", "CAST(event_id / 4 AS decimal(14,2)) AS amount", "event_type"]),
+        ("2100-01-01", ["CAST(user_id AS string) AS user_id", "event_id AS amount", "event_type", "props"]),
+    ]
+    for nth, (until, columns) in enumerate(runs, 1):
+        rows = events.filter(F.col("ts") <= F.lit(until).cast("timestamp_ntz")).selectExpr("event_id", "ts", *columns)
+        load_delta(frames({"events": rows})(EVENT_LOAD), EVENT_LOAD, place, f"2024/02/0{nth}", watermarks, run_id=f"run{nth}")
+    return read_delta_log(spark, place, "events").withColumn("amount", F.col("amount").cast("double"))
 
 
 @query("nullable_schema", "SELECT c_custkey, c_name, 'retail' AS kind FROM customer")

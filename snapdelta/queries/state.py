@@ -13,17 +13,17 @@ from snapdelta.state.watermark import WatermarkTable, advanced, current_watermar
 
 @query(
     "state_key",
-    """SELECT page_id, 'land_ing__delta__' || trim(translate(split_part(url, '/', 3), '-.', '__'), '_')
-              || '__public__' || trim(translate(split_part(url, '/', 4), '-.', '__'), '_') AS state_key
+    """SELECT page_id, '-land.ing-|delta|' || split_part(url, '/', 3) || '|' || replace(replace(html[1:3], '\\', '\\\\'), '|', '\\|')
+              || '|' || split_part(url, '/', 4) AS state_key
        FROM pages""",
 )
 def state_key(spark, folder):
-    """Hosts as database names and paths as table names: dots and dashes become underscores."""
+    """Hosts as database names and paths as table names, kept as they are: no two of them share a key."""
     key = state_key_column(
         F.lit("-land.ing-"),
         F.lit("DELTA"),
         F.split_part("url", F.lit("/"), F.lit(3)),
-        F.lit("public"),
+        F.substring("html", 1, 3),
         F.split_part("url", F.lit("/"), F.lit(4)),
     )
     return table(spark, folder, "pages").select("page_id", key.alias("state_key"))
@@ -86,7 +86,7 @@ def watermark_advance(spark, folder):
 
 @query(
     "state_restore",
-    """SELECT 'snapdelta__delta__web__public__events' AS state_key, CAST(MAX(ts) AS VARCHAR) AS last_value,
+    """SELECT 'snapdelta|delta|web|public|events' AS state_key, CAST(MAX(ts) AS VARCHAR) AS last_value,
               'timestamp_ntz' AS value_type, COUNT(*) AS n_rows FROM events""",
 )
 def state_restore(spark, folder):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -22,14 +23,6 @@ class Folders:
         path, fs = self._path(folder)
         fs.delete(path, True)
 
-    def move(self, source: str, target: str) -> None:
-        """Rename a folder; the target must not exist, its parent is made if missing."""
-        src, fs = self._path(source)
-        dst, _ = self._path(target)
-        fs.mkdirs(dst.getParent())
-        if not fs.rename(src, dst):
-            raise OSError(f"could not move {source} to {target}")
-
     def has_data(self, folder: str) -> bool:
         """True when the folder holds at least one file that a reader would see."""
         path, fs = self._path(folder)
@@ -41,6 +34,61 @@ class Folders:
                 return True
         return False
 
+    def names(self, folder: str) -> list[str]:
+        """The names right below a folder; none where it does not exist."""
+        path, fs = self._path(folder)
+        if not fs.exists(path):
+            return []
+        return sorted(status.getPath().getName() for status in fs.listStatus(path))
+
+    def data_files(self, folder: str) -> list[str]:
+        """Paths of the files right in a folder that a reader would see."""
+        path, fs = self._path(folder)
+        if not fs.exists(path):
+            return []
+        return sorted(str(each.getPath()) for each in fs.listStatus(path) if each.isFile() and each.getPath().getName()[0] not in "_.")
+
+    def data_folders(self, folder: str) -> list[str]:
+        """The folders at or below a folder that hold such files, hidden ones left out."""
+        path, fs = self._path(folder)
+        if not fs.exists(path):
+            return []
+        below = [each for each in fs.listStatus(path) if each.getPath().getName()[0] not in "_."]
+        found = [folder] if any(each.isFile() for each in below) else []
+        for each in below:
+            if each.isDirectory():
+                found += self.data_folders(f"{folder}/{each.getPath().getName()}")
+        return found
+
+    def modified(self, folder: str) -> float:
+        """When a file or folder was last changed, in seconds."""
+        path, fs = self._path(folder)
+        return fs.getFileStatus(path).getModificationTime() / 1000
+
+    def read_text(self, file: str) -> str:
+        path, fs = self._path(file)
+        stream = fs.open(path)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create_text(self, file: str, text: str) -> bool:
+        """Write a small file; False, and nothing written, where there is one already."""
+        path, fs = self._path(file)
+        fs.mkdirs(path.getParent())
+        try:
+            stream = fs.create(path, False)
+        except Py4JJavaError:
+            if fs.exists(path):
+                return False
+            raise
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        return True
+
     def delete_at_exit(self, folder: str) -> None:
         path, fs = self._path(folder)
         fs.mkdirs(path)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
+from urllib.parse import quote, unquote
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from snapdelta.operators.schema import nullable_schema
+from snapdelta.sinks.commits import VersionLog
 from snapdelta.sinks.folders import Folders
 
 
@@ -53,43 +57,122 @@ def write_run(
     return found
 
 
-def replace_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0, in_place: bool = False) -> int:
-    """Put ``df`` in place of the folder's files.
+# Beside the runs of a snapshot: which of them make up its versions.
+VERSIONS = "_versions"
+# The run that stands for files right in the folder, from a writer without versions.
+PLAIN = "."
 
-    The rows are written beside the folder; once they are complete the old folder is moved aside, the
-    new one in, and the old one deleted. A failed write leaves the old snapshot as it was, a failed
-    move puts it back, and a snapshot can be rebuilt from itself. Moving a folder is one step on HDFS,
-    but an object store copies every file: there, ``in_place`` deletes the old files first and writes
-    straight to the folder, at the price that a failed write leaves no snapshot.
-    """
-    if in_place:
-        return write_files(df, folder, "overwrite", rows_per_file)["n_rows"]
-    folders = Folders(df.sparkSession)
-    parent, name = folder.rstrip("/").rsplit("/", 1)
-    run = uuid.uuid4().hex[:12]
-    incoming, aside = f"{parent}/_incoming-{name}-{run}", f"{parent}/_replaced-{name}-{run}"
-    try:
-        n_rows = write_files(df, incoming, "errorifexists", rows_per_file)["n_rows"]
-    except BaseException:
-        folders.delete(incoming)
-        raise
-    if folders.exists(folder):
-        folders.move(folder, aside)
+
+def _write_version(df: DataFrame, folder: str, rows_per_file: int, keep: bool, finish: Step, metrics: dict) -> dict:
+    """Write ``df`` as a run of its own, then commit the version that names it, alone or beside the runs before."""
+    spark = df.sparkSession
+    folders, log = Folders(spark), VersionLog(spark, f"{folder}/{VERSIONS}")
+    name = f"run-{uuid.uuid4().hex}"
     try:
-        folders.move(incoming, folder)
+        found = write_files(df, f"{folder}/{name}", "errorifexists", rows_per_file, finish, **metrics)
+        run = {"folder": name, "schema": nullable_schema(finish(df).schema).jsonValue()}
+        committed = False
+        while not committed:
+            version, before = log.newest()
+            if not version and folders.data_files(folder):
+                log.commit(1, {"runs": [{"folder": PLAIN}]})  # what a writer without versions left is the first one
+                continue
+            runs = snapshot_runs(spark, folder, before) if keep else []
+            committed = log.commit(version + 1, {"runs": [*runs, run]})
     except BaseException:
-        # the new rows stay beside the folder until the old ones are back
-        if folders.exists(aside):
-            folders.delete(folder)
-            folders.move(aside, folder)
-        folders.delete(incoming)
+        # a commit whose answer was lost still counts
+        _, newest = log.newest()
+        if not any(each["folder"] == name for each in (newest or {}).get("runs", ())):
+            folders.delete(f"{folder}/{name}")
         raise
-    folders.delete(aside)
-    return n_rows
+    if not keep:
+        _drop_before(folders, log, folder, version + 1)
+    return found
+
+
+def _drop_before(folders: Folders, log: VersionLog, folder: str, version: int) -> None:
+    """Delete the runs that only versions before the last one name: readers may still be at the last one."""
+    taken = [each for each in log.versions() if each <= version]
+    held = {run["folder"] for each in log.versions()[-2:] + taken[-2:] for run in (log.read(each) or {}).get("runs", ())}
+    for each in taken[:-2]:
+        for run in (log.read(each) or {}).get("runs", ()):
+            if run["folder"] == PLAIN:
+                for file in folders.data_files(folder):
+                    folders.delete(file)
+            elif run["folder"] not in held:
+                folders.delete(f"{folder}/{run['folder']}")
+        log.drop(each)
+
+
+def snapshot_runs(spark: SparkSession, folder: str, version: dict | None = None) -> list[dict]:
+    """The runs (``folder``, ``schema``) that make up a snapshot's newest version."""
+    if version is None:
+        _, version = VersionLog(spark, f"{folder}/{VERSIONS}").newest()
+    if version is not None:
+        return version["runs"]
+    return [{"folder": PLAIN}] if Folders(spark).data_files(folder) else []
+
+
+def vacuum_snapshot(spark: SparkSession, folder: str, older_than_hours: float = 24.0) -> list[str]:
+    """Delete runs that no version names, left by drivers that died; only those older than any load may last."""
+    folders, log = Folders(spark), VersionLog(spark, f"{folder}/{VERSIONS}")
+    named = {run["folder"] for version in log.versions() for run in (log.read(version) or {}).get("runs", ())}
+    left = [f"{folder}/{name}" for name in folders.names(folder) if name.startswith("run-") and name not in named]
+    left = [each for each in left if time.time() - folders.modified(each) >= older_than_hours * 3600]
+    for each in left:
+        folders.delete(each)
+    return left
+
+
+def replace_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0, in_place: bool = False) -> int:
+    """Put ``df`` in place of the folder's rows; gives the rows written.
+
+    The rows are written to a run folder of their own, and a small version file that names it is created
+    last: whoever reads by ``snapshot_runs`` sees the old snapshot or the new one, at every moment and
+    after a failure at any step, and nothing is moved or copied. The version before stays for those who are
+    still reading it. A snapshot can be rebuilt from itself. ``in_place`` keeps plain files in the folder, for
+    readers that know no versions, at the price that a failed write leaves no snapshot.
+    """
+    return SnapshotWriter(in_place=in_place).write(df, folder, rows_per_file)["n_rows"]
+
+
+def append_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0, in_place: bool = False) -> int:
+    """Add ``df`` to the folder's rows, in the same way."""
+    return SnapshotWriter(keep_existing=True, in_place=in_place).write(df, folder, rows_per_file)["n_rows"]
+
+
+# Beside the days of a delta log: which schema version each run was written under, as empty files
+# ``v<version>/<day and run>``.
+RUNS = "_runs"
+
+
+def run_mark(day: str, run_id: str) -> str:
+    return quote(f"{day.strip('/')}/{run_id}", safe="")
+
+
+def run_of_mark(mark: str) -> str:
+    return unquote(mark)
+
+
+def mark_run(spark: SparkSession, log_folder: str, day: str, run_id: str, version: int) -> None:
+    """Note the schema version of a run that is about to be written, and forget that of an earlier try."""
+    folders, mark = Folders(spark), run_mark(day, run_id)
+    unmark_run(spark, log_folder, day, run_id, but=version)
+    folders.create_text(f"{log_folder}/{RUNS}/v{version:012}/{mark}", "")
+
+
+def unmark_run(spark: SparkSession, log_folder: str, day: str, run_id: str, but: int = 0) -> None:
+    folders, mark = Folders(spark), run_mark(day, run_id)
+    for version in folders.names(f"{log_folder}/{RUNS}"):
+        if int(version[1:]) != but:
+            folders.delete(f"{log_folder}/{RUNS}/{version}/{mark}")
 
 
-def append_snapshot(df: DataFrame, folder: str, rows_per_file: int = 0) -> int:
-    return write_files(df, folder, "append", rows_per_file)["n_rows"]
+def marked_runs(spark: SparkSession, log_folder: str) -> dict[str, int]:
+    """The schema version of each marked run, by ``<day>/<run>``."""
+    folders = Folders(spark)
+    versions = folders.names(f"{log_folder}/{RUNS}")
+    return {run_of_mark(mark): int(version[1:]) for version in versions for mark in folders.names(f"{log_folder}/{RUNS}/{version}") if mark[0] != "."}
 
 
 class SnapshotWriter:
@@ -100,12 +183,15 @@ class SnapshotWriter:
         self.in_place = in_place
         self._replaced: set[str] = set()
 
-    def write(self, df: DataFrame, folder: str, rows_per_file: int = 0) -> int:
-        if self.keep_existing or folder in self._replaced:
-            return append_snapshot(df, folder, rows_per_file)
-        n_rows = replace_snapshot(df, folder, rows_per_file, self.in_place)
+    def write(self, df: DataFrame, folder: str, rows_per_file: int = 0, finish: Step = _unchanged, **metrics: Column) -> dict:
+        """Write a load's rows; gives ``n_rows`` and the metrics."""
+        keep = self.keep_existing or folder in self._replaced
+        if self.in_place:
+            found = write_files(df, folder, "append" if keep else "overwrite", rows_per_file, finish, **metrics)
+        else:
+            found = _write_version(df, folder, rows_per_file, keep, finish, metrics)
         self._replaced.add(folder)
-        return n_rows
+        return found
 
 
 def even_files(df: DataFrame) -> DataFrame:

@@ -57,5 +57,9 @@ class Layout:
     def state(self) -> str:
         return f"{self.base}/_load_state"
 
+    @property
+    def schemas(self) -> str:
+        return f"{self.base}/_load_schemas"
+
     def summary(self, day: str, job_id: str) -> str:
         return f"{self.base}/{SUMMARY_FOLDER}/{day.strip('/')}/{job_id}.json"

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from snapdelta.config import DeltaLoad
 from snapdelta.operators.cursor import first_floor, in_cursor_order
-from snapdelta.operators.projection import quoted
-from snapdelta.plans.loads import extract, stable_types
-from snapdelta.sinks.landing import write_run
+from snapdelta.plans.loads import declared, extract, land_run
 from snapdelta.sinks.layout import Layout
 from snapdelta.sources.tables import projected
-from snapdelta.state.watermark import WatermarkTable, state_key, stored_text
+from snapdelta.state.watermark import WatermarkTable, state_key
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None):
@@ -46,21 +44,13 @@ def land_stream(
     key = state_key(base_name, "delta", load.database, load.schema, load.output_name)
     rows = projected(source, load)
     data_type = rows.schema[load.cursor_column].dataType
-    cursor = F.col(quoted(load.cursor_column))
     chosen = extract(rows, load, cutoff)
     stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{stream}-{batch_id}"
-        metrics = write_run(
-            in_cursor_order(batch, load.cursor_column),
-            f"{layout.delta(load.output_name, day)}/{run_id}",
-            finish=stable_types,
-            high=stored_text(F.max(cursor), data_type),
-        )
-        watermarks.advance(
-            key, metrics["high"], data_type.simpleString(), metrics["n_rows"], run_id
-        )
+        found = land_run(in_cursor_order(declared(batch, load), load.cursor_column), load, layout, day, run_id)
+        watermarks.advance(key, found["high"], data_type.simpleString(), found["n_rows"], run_id)
 
     writer = chosen.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -119,7 +119,7 @@ def test_stream_reads_each_file_once(spark, place, tmp_path):
     landed = sorted(r.ts for r in read_delta_log(spark, place, "events").collect())
     # 0 is the floor. Rows 10 to 19 came after 29 and are kept.
     assert landed == list(range(1, 30))
-    key = "snapdelta__delta__d__s__events"
+    key = "snapdelta|delta|d|s|events"
     assert WatermarkTable(spark, place.state).lookup(key) == 29
 
 
@@ -149,7 +149,7 @@ def test_many_tables_at_once_keep_their_state_apart(spark, place, source):
     for rows in (4, 0):
         outcomes = run_job(spark, source, place, replace(settings, floor="0"), (), loads)
         assert [(o.status, o.n_rows) for o in outcomes] == [("ok", rows)] * 16
-    keys = [f"snapdelta__delta__a__s__out{i}" for i in range(16)]
+    keys = [f"snapdelta|delta|a|s|out{i}" for i in range(16)]
     state = WatermarkTable(spark, place.state)
     assert sorted(r.state_key for r in state.history().collect()) == sorted(keys)
     assert {state.lookup(key) for key in keys} == {4}
