@@ -33,10 +33,10 @@ class VersionLog:
         return sorted(int(name[1:-5]) for name in names)
 
     def read(self, version: int) -> dict | None:
-        """The document of a number, None when it holds no commit."""
+        """The document of a number, None when it holds no commit (or does not any more)."""
         try:
             found = json.loads(self._folders.read_text(self._file(version)))
-        except ValueError:
+        except (ValueError, FileNotFoundError):
             return None
         return found if isinstance(found, dict) else None
 

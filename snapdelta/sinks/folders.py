@@ -67,7 +67,12 @@ class Folders:
 
     def read_text(self, file: str) -> str:
         path, fs = self._path(file)
-        stream = fs.open(path)
+        try:
+            stream = fs.open(path)
+        except Py4JJavaError:
+            if fs.exists(path):
+                raise
+            raise FileNotFoundError(file) from None
         try:
             return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -26,8 +27,8 @@ def _unversioned(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     """Files of writers that kept no schema: one frame if their types agree, else one for each folder."""
     try:
         return [spark.read.option("mergeSchema", True).parquet(*paths)]
-    except PySparkException:
-        if len(paths) == 1:
+    except (PySparkException, Py4JJavaError) as error:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
         return [spark.read.option("mergeSchema", True).parquet(path) for path in paths]
 
