@@ -51,26 +51,36 @@ class FullLoad:
 
 @dataclass(frozen=True, kw_only=True)
 class DeltaLoad(FullLoad):
-    """A table to land above its last cursor value."""
+    """A table to land above its last cursor value.
+
+    With ``keys`` (what tells rows apart) and a ``late_window`` (``2 days``, or a number for number cursors) a
+    run also lands rows that arrived late, up to that far below the saved cursor.
+    """
 
     cursor_column: str
     cursor_expression: str | None = None
     initial_value: object = None
+    keys: tuple[str, ...] | None = None
+    late_window: str | None = None
 
     def __post_init__(self):
         if not self.cursor_column:
             raise ValueError(f"{self.label}: a delta table must set cursor_column")
         if self.cursor_expression and self.projection == "all":
             raise ValueError(f"{self.label}: cursor_expression needs select_sql or columns")
+        if self.late_window and not self.keys:
+            raise ValueError(f"{self.label}: late_window needs keys")
 
 
 def load_from_entry(database: str, entry: dict, delta: bool) -> FullLoad:
     """One table entry of a config file as a record."""
     kind = DeltaLoad if delta else FullLoad
     known = {name: entry[name] for name in kind.__dataclass_fields__ if entry.get(name) is not None}
-    for listed in ("columns", "output_columns", "slice_columns"):
+    for listed in ("columns", "output_columns", "slice_columns", "keys"):
         if listed in known:
             known[listed] = tuple(known[listed])
+    if "late_window" in known:
+        known["late_window"] = str(known["late_window"])
     if "column_types" in known:
         known["column_types"] = tuple(dict(known["column_types"]).items())
     if delta:

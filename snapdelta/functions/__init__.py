@@ -1,5 +1,6 @@
 from snapdelta.functions.collections import (
     array_literal,
+    array_literals,
     exploded,
     joined,
     json_array,
@@ -25,6 +26,7 @@ from snapdelta.functions.text import (
 
 __all__ = [
     "array_literal",
+    "array_literals",
     "as_text",
     "collapse_spaces",
     "exploded",

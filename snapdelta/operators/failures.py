@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import builtins
+import errno
+import json
+from collections.abc import Iterator
+from functools import cache, reduce
+
+import pyarrow.lib
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapdelta.functions.text import lines, once, one_spaced, strip
@@ -70,6 +76,19 @@ SPACE = (
 )
 
 
+@cache
+def kinds_of(base: str) -> tuple[str, ...]:
+    """The names of an exception type and of the types derived from it, as far as a log names them: Python's own,
+    those of JSON and those of Arrow."""
+    modules = (builtins, json, pyarrow.lib)
+    known = {each for module in modules for each in vars(module).values() if isinstance(each, type) and issubclass(each, BaseException)}
+    return tuple(sorted({base} | {each.__name__ for each in known if any(parent.__name__ == base for parent in each.__mro__)}))
+
+
+def _kinds_of_any(bases) -> list[str]:
+    return sorted({name for base in bases for name in kinds_of(base)})
+
+
 def _any_of(text: Column, pieces) -> Column:
     return reduce(lambda left, right: left | right, [F.contains(text, F.lit(p)) for p in pieces])
 
@@ -104,7 +123,7 @@ def error_code(message: Column) -> Column:
 
 def _is_schema_failure(exc_type: Column, message: Column) -> Column:
     text = F.lower(message)
-    by_type = (exc_type == "ValueError") & F.contains(text, F.lit("schema")) & F.contains(text, F.lit("match"))
+    by_type = exc_type.isin(*kinds_of("ValueError")) & F.contains(text, F.lit("schema")) & F.contains(text, F.lit("match"))
     return by_type | _any_of(text, SCHEMA_MARKERS)
 
 
@@ -112,7 +131,7 @@ def _is_transient(exc_type: Column, message: Column) -> Column:
     text = F.lower(message)
     bad_length = (error_number(message) == "22") & F.contains(text, F.lit("number of bytes"))
     return (
-        exc_type.isin(*TRANSIENT_TYPES)
+        exc_type.isin(*_kinds_of_any(TRANSIENT_TYPES))
         | _any_of(text, TRANSIENT_MARKERS)
         | error_code(message).isin(*TRANSIENT_CODES)
         | error_number(message).isin(*TRANSIENT_ERRNOS)
@@ -141,12 +160,71 @@ def chain_class(chain: Column | str) -> Column:
     return _classes(any_link(_is_schema_failure), any_link(_is_transient))
 
 
+def chain_exhaustion(chain: Column | str) -> Column:
+    """Whether any link of a cause chain is out of memory or disk space."""
+    chain = F.col(chain) if isinstance(chain, str) else chain
+    return F.exists(chain, lambda link: is_exhaustion(link["exc_type"], link["message"]))
+
+
+def cause_chain(error: BaseException) -> list[BaseException]:
+    """An error, what it was raised from or while handling, and so on; each once."""
+    found: list[BaseException] = []
+    while error is not None and all(error is not each for each in found):
+        found.append(error)
+        error = error.__cause__ or error.__context__
+    return found
+
+
+def _links(error: BaseException) -> Iterator[tuple[set[str], str]]:
+    """The names of the type and its ancestors, and the message, of each link; a JVM error goes on with its causes."""
+    for each in cause_chain(error):
+        yield {kind.__name__ for kind in type(each).__mro__}, str(each)
+        below = each.java_exception if isinstance(each, Py4JJavaError) else getattr(each, "_origin", None)
+        depth = 0
+        while below is not None and depth < 50:
+            yield {below.getClass().getSimpleName()}, str(below.getMessage() or "")
+            below, depth = below.getCause(), depth + 1
+
+
+def _has_any(text: str, pieces) -> bool:
+    return any(piece in text for piece in pieces)
+
+
+def _schema_link(kinds: set[str], text: str) -> bool:
+    return ("ValueError" in kinds and "schema" in text and "match" in text) or _has_any(text, SCHEMA_MARKERS)
+
+
+def _passing_error(error: BaseException) -> bool:
+    """The tests on an error object that its text need not show: its number, and a storage service's code."""
+    if isinstance(error, OSError) and error.errno is not None:
+        if str(error.errno) in TRANSIENT_ERRNOS:
+            return True
+        if error.errno == errno.EINVAL and _has_any(str(error).lower(), ("content-length", "number of bytes")):
+            return True
+    response = getattr(error, "response", None)
+    return isinstance(response, dict) and (response.get("Error") or {}).get("Code") in TRANSIENT_CODES
+
+
+def error_class(error: BaseException) -> str:
+    """``failure_class`` of an error at hand, by its whole cause chain and the ancestors of its types."""
+    links = [(kinds, text.lower()) for kinds, text in _links(error)]
+    if any(_schema_link(kinds, text) for kinds, text in links):
+        return "schema"
+    by_text = any(kinds & set(TRANSIENT_TYPES) or _has_any(text, TRANSIENT_MARKERS) for kinds, text in links)
+    return "transient" if by_text or any(map(_passing_error, cause_chain(error))) else "fatal"
+
+
+def is_exhausted(error: BaseException) -> bool:
+    """``is_exhaustion`` of an error at hand, by its whole cause chain."""
+    return any(isinstance(each, MemoryError) or (isinstance(each, OSError) and each.errno == errno.ENOSPC) for each in cause_chain(error))
+
+
 def is_exhaustion(exc_type: Column | str, message: Column | str) -> Column:
     """Out of memory or out of disk space."""
     exc_type = F.col(exc_type) if isinstance(exc_type, str) else exc_type
     message = F.col(message) if isinstance(message, str) else message
     return (
-        (exc_type == "MemoryError")
+        exc_type.isin(*kinds_of("MemoryError"))
         | (error_number(message) == NO_SPACE_ERRNO)
         | F.contains(message, F.lit(NO_SPACE_TEXT))
     )

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -15,6 +19,7 @@ from snapdelta.sinks.folders import Folders
 from snapdelta.sinks.landing import SnapshotWriter, even_files, mark_run, unmark_run, write_run
 from snapdelta.sinks.layout import Layout
 from snapdelta.sinks.manifest import write_manifest
+from snapdelta.sources.landed import read_above
 from snapdelta.state.schemas import SchemaStore
 from snapdelta.state.watermark import WatermarkTable, state_key, stored_text
 
@@ -80,9 +85,10 @@ def land_run(
     """
     spark, table = rows.sparkSession, load.output_name
     log, folder = layout.delta_log(table), f"{layout.delta(table, day)}/{run_id}"
+    place = layout.delta(table, day).removeprefix(log)
     version, schema = SchemaStore(spark, layout.schemas).admit(table, stable_types(rows).schema)
     Folders(spark).delete(folder)  # of an earlier try, maybe under another version
-    mark_run(spark, log, day, run_id, version)
+    mark_run(spark, log, place, run_id, version)
     cursor, data_type = F.col(quoted(load.cursor_column)), rows.schema[load.cursor_column].dataType
     found = write_run(
         rows,
@@ -94,13 +100,34 @@ def land_run(
         **_rejects(load),
     )
     if not found["n_rows"]:
-        unmark_run(spark, log, day, run_id)
+        unmark_run(spark, log, place, run_id)
     elif manifest:
         tracked = [load.cursor_column, *greatest_columns(load.cursor_expression)]
-        write_manifest(spark.read.schema(schema).parquet(folder), log, day, run_id, tracked)
+        write_manifest(spark.read.schema(schema).parquet(folder), log, place, run_id, tracked)
     return found
 
 
+def window_start(cutoff, window: str):
+    """The cursor ``window`` below ``cutoff``: an interval such as ``2 days`` for times, a number for numbers."""
+    if isinstance(cutoff, date):
+        number, unit = window.split()
+        return cutoff - timedelta(**{unit if unit.endswith("s") else unit + "s": float(number)})
+    return cutoff - type(cutoff)(window)
+
+
+def _reader_of_log(rows: DataFrame, layout: Layout, load: DeltaLoad) -> Callable[[object], DataFrame]:
+    return lambda value: read_above(rows.sparkSession, layout, load, value)
+
+
+def _not_yet_landed(chosen: DataFrame, load: DeltaLoad, landed: DataFrame) -> DataFrame:
+    """Rows whose key and cursor the log lacks. A changed row has a new cursor, so it is not left out."""
+    names = [*load.keys, load.cursor_column]
+    seen = landed.select([F.col(quoted(name)).alias(f"_landed_{nth}") for nth, name in enumerate(names)]).distinct()
+    # compared in the types the log has, which a wider batch may have changed
+    same = [F.col(quoted(name)).cast(seen.schema[nth].dataType).eqNullSafe(F.col(f"_landed_{nth}")) for nth, name in enumerate(names)]
+    return chosen.join(seen, reduce(and_, same), "left_anti")
+
+
 def load_delta(
     rows: DataFrame,
     load: DeltaLoad,
@@ -113,6 +140,7 @@ def load_delta(
     rows_per_file: int = 0,
     order_first_load: bool = False,
     manifest: bool = False,
+    landed_before: Callable[[object], DataFrame] | None = None,
 ) -> Landed:
     """Land the rows above the saved cursor (or the floor), then save the new cursor.
 
@@ -120,6 +148,10 @@ def load_delta(
     and a second attempt with the same ``run_id`` writes over the first one's files. The new cursor
     is the highest one written, taken during the write. Each run needs an id of its own. Types that
     changed since the last run widen the log's schema; declared ones are kept to, and counted where not met.
+
+    With a ``late_window`` the run looks that far back below the saved cursor, for rows that arrived late, and
+    leaves out those the log has already (``landed_before`` gives them from a cursor on; by default it reads
+    the log). The saved cursor still never moves back.
     """
     run_id = run_id or uuid.uuid4().hex
     key = state_key(base_name, "delta", load.database, load.schema, load.output_name)
@@ -130,7 +162,15 @@ def load_delta(
     cutoff = first_floor(load.initial_value, floor) if first else saved.value
     data_type = rows.schema[load.cursor_column].dataType
 
-    chosen = declared(extract(rows, load, cutoff), load)
+    back = cutoff
+    if load.late_window and not first:
+        lowest = first_floor(load.initial_value, floor)
+        back = window_start(cutoff, load.late_window)
+        back = back if lowest is None else max(back, lowest)
+    chosen = extract(rows, load, back)
+    if back != cutoff:
+        chosen = _not_yet_landed(chosen, load, (landed_before or _reader_of_log(rows, layout, load))(back))
+    chosen = declared(chosen, load)
     # A later increment keeps few rows of each scan task: they are gathered and put in cursor order.
     # A first load keeps most rows, so its files follow the scan: no shuffle, and a sort only on request.
     if not first:

@@ -94,6 +94,44 @@ def exhaustion_flag(spark, folder):
     return parsed.select("doc_id", failures.is_exhaustion("exc_type", "detail").alias("is_exhausted"))
 
 
+# A chain of three: the wrapper a job raises, the entry's own error, and what that was raised from.
+_ROOT_TYPE = "CASE doc_id % 4 WHEN 0 THEN 'ArrowInvalid' WHEN 1 THEN 'ConnectionResetError' WHEN 2 THEN 'BrokenPipeError' ELSE 'KeyError' END"
+_ROOT_TEXT = "CASE WHEN doc_id % 8 = 0 THEN 'Schema at index 1 did not match: timeout' ELSE lang END"
+
+
+def _either(test: str) -> str:
+    own, root = test, test.replace("exc_type", "root_type").replace("detail", "root_text")
+    return f"(({own}) OR ({root}))"
+
+
+@query(
+    "chain_class",
+    f"""SELECT doc_id, CASE
+          WHEN {_either(_contains_any(failures.SCHEMA_MARKERS) + " OR (exc_type IN ('ValueError', 'ArrowInvalid') AND contains(lower(detail), 'schema') AND contains(lower(detail), 'match'))")}
+            THEN 'schema'
+          WHEN {_either(_contains_any(failures.TRANSIENT_MARKERS) + " OR exc_type IN ('BrokenPipeError', 'TimeoutError')")}
+               OR regexp_extract(detail, 'An error occurred \\(([A-Za-z0-9]+)\\)', 1) IN ('Throttling', 'SlowDown',
+                  'RequestTimeout', 'ServiceUnavailable', 'InternalError', 'EC2ThrottledException')
+               OR regexp_extract(detail, '\\[Errno\\s+([0-9]+)\\]', 1) IN ('12', '28', '32', '104', '110') THEN 'transient'
+          ELSE 'fatal' END AS failure_class,
+          exc_type = 'MemoryError' OR contains(detail, 'No space left on device')
+            OR regexp_extract(detail, '\\[Errno\\s+([0-9]+)\\]', 1) = '28' AS is_exhausted
+        FROM (SELECT doc_id, COALESCE(exc_type, '') AS exc_type, COALESCE(detail, entry) AS detail, {_ROOT_TYPE} AS root_type,
+                     {_ROOT_TEXT} AS root_text FROM ({_PARSED}) JOIN (SELECT doc_id, lang FROM documents) USING (doc_id))""",
+)
+def chain_class(spark, folder):
+    """Every entry as the middle of a cause chain: any link decides, and a type counts as its ancestors."""
+    def link(exc_type, message):
+        return F.struct(exc_type.alias("exc_type"), message.alias("message"))
+
+    langs = table(spark, folder, "documents").select("doc_id", "lang")
+    whole = _whole(spark, folder).join(langs, "doc_id")
+    wrapper = link(F.lit("LoadError"), F.lit("step=load"))
+    chain = F.array(wrapper, link(F.col("exc_type"), F.col("detail")), link(F.expr(_ROOT_TYPE), F.expr(_ROOT_TEXT)))
+    chained = whole.select("doc_id", chain.alias("chain"))
+    return chained.select("doc_id", failures.chain_class("chain").alias("failure_class"), failures.chain_exhaustion("chain").alias("is_exhausted"))
+
+
 _SP = failures.SPACE
 _BREAK = r"\r\n|[\n-\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 

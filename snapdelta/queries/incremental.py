@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -71,6 +72,20 @@ def rows_that_came_late(spark, folder):
     return late_rows(arrivals, "ts", datetime(2024, 1, 15))
 
 
+@query("late_rows_landed", "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-03'")
+def late_rows_landed(spark, folder):
+    """Errors of the ten days before each mark show up one run late; a run that looks back lands them, each row once."""
+    events, place = table(spark, folder, "events"), layout(spark)
+    watermarks = WatermarkTable(spark, place.state)
+    load = replace(EVENT_LOAD, keys=("event_id",), late_window="11 days")
+    for number, until in enumerate((*_SEEN_UNTIL, "2100-01-02"), 1):
+        until = F.lit(until).cast("timestamp_ntz")
+        late = (F.col("event_type") == "error") & (F.col("ts") >= until - F.expr("INTERVAL 10 DAYS"))
+        rows = frames({"events": events.filter((F.col("ts") < until) & ~late)})(load)
+        load_delta(rows, load, place, f"2024/02/0{number}", watermarks, floor=FLOOR, run_id=f"run{number}", manifest=True)
+    return read_delta_log(spark, place, "events")
+
+
 @query("stream_equals_batch", "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-03'")
 def stream_equals_batch(spark, folder):
     """Source files that arrive between two calls of the stream; each is read once."""

@@ -94,6 +94,34 @@ def array_literal_text(spark, folder):
     return table(spark, folder, "documents").select("doc_id", pg.array_literal(_words()).alias("words_text"))
 
 
+def _sql_number(name: str) -> str:
+    return f"regexp_replace(CAST({name} AS VARCHAR), '\\.0$', '')"
+
+
+@query(
+    "array_literal_types",
+    f"""SELECT l_orderkey, l_linenumber, '{{' || {_sql_number("l_extendedprice")} || ',NULL,' || {_sql_number("-l_quantity")} || '}}' AS numbers,
+               CASE l_returnflag WHEN 'A' THEN '{{t,NULL,' WHEN 'N' THEN '{{NULL,NULL,' ELSE '{{f,NULL,' END
+                 || CASE l_linestatus WHEN 'O' THEN 't}}' ELSE 'f}}' END AS flags,
+               '{{{{' || l_partkey || ',' || l_suppkey || '}},{{NULL,' || l_linenumber || '}}}}' AS nested,
+               '{{"' || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') || '"}}' AS times,
+               '{{' || CAST(l_shipdate AS DATE) || '}}' AS days
+        FROM lineitem""",
+)
+def array_literal_types(spark, folder):
+    """Numbers, flags, inner arrays and times inside a literal, each as PostgreSQL prints it there."""
+    arrays = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "array(l_extendedprice, NULL, -l_quantity) AS numbers",
+        "array(CASE l_returnflag WHEN 'A' THEN true WHEN 'N' THEN NULL ELSE false END, NULL, l_linestatus = 'O') AS flags",
+        "array(array(l_partkey, l_suppkey), array(NULL, CAST(l_linenumber AS bigint))) AS nested",
+        "array(l_shipdate) AS times",
+        "array(CAST(l_shipdate AS date)) AS days",
+    )
+    return pg.array_literals(arrays)
+
+
 @query(
     "range_text",
     """SELECT o_orderkey,
@@ -225,6 +253,24 @@ def json_path(spark, folder):
     )
 
 
+# Numbers of unlike form, a name with quotes, a repeated name, an array and an inner document.
+_TOKENS = """'{"price":' || event_id || '.10,"power":' || user_id || 'e5,"it''s \\\\"here\\\\"":"' || event_type
+             || '","twice":1,"list":[' || event_id || '.50, {"k" : ' || props || '}],"twice":' || user_id || '}'"""
+
+
+@query(
+    "json_tokens",
+    """SELECT event_id, event_id || '.10' AS price, user_id || 'e5' AS power, event_type AS quoted, CAST(user_id AS VARCHAR) AS twice,
+              event_id || '.50' AS first, '{"k":' || replace(props, ' ', '') || '}' AS last, CAST(NULL AS VARCHAR) AS beyond
+       FROM events""",
+)
+def json_tokens(spark, folder):
+    """Fields as the document writes them: digits and exponents kept, the last of repeated names, steps into an array."""
+    documents = table(spark, folder, "events").selectExpr("event_id", f"{_TOKENS} AS doc")
+    steps = {"price": ["price"], "power": ["power"], "quoted": ["it's \"here\""], "twice": ["twice"], "first": ["list", 0], "last": ["list", -1], "beyond": ["list", 7]}
+    return documents.select("event_id", *[pg.json_text("doc", *path).alias(name) for name, path in steps.items()])
+
+
 # Whole texts with carriage returns, tabs and runs of blanks added at every sentence end.
 _DIRTY = "replace(text, '. ', '.' || chr(13) || chr(10) || chr(9) || '  ')"
 

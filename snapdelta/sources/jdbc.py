@@ -77,7 +77,21 @@ def planned_slices(load: FullLoad, rows: Callable[[str], Sequence]) -> list[str]
     return plan_slices(DatabaseCounts(rows, source_query(load)), load.slice_columns, load.read_slices)
 
 
-def postgres_tables(spark: SparkSession, connections: dict[str, Connection]) -> Source:
+def connections_from(given: dict[str, dict], settings: dict) -> dict[str, Connection]:
+    """Connections by alias; what a connection leaves open comes from the settings' ``postgres`` section."""
+    postgres = settings.get("postgres") or {}
+    common = {"statement_timeout_ms": postgres.get("statement_timeout_ms"), "keepalive": postgres.get("tcp_keepalives_enabled")}
+    common = {name: value for name, value in common.items() if value is not None}
+    return {alias: Connection(**{**common, **parts}) for alias, parts in given.items()}
+
+
+def fetch_rows_from(settings: dict) -> int:
+    """Rows per fetch where a table sets none, from the settings' ``runtime`` or ``extract`` section."""
+    runtime, extract = (settings.get(name) or {} for name in ("runtime", "extract"))
+    return int(runtime.get("extract_chunk_size") or extract.get("chunk_size") or DEFAULT_FETCH_ROWS)
+
+
+def postgres_tables(spark: SparkSession, connections: dict[str, Connection], fetch_rows: int = DEFAULT_FETCH_ROWS) -> Source:
     """Loads by database alias.
 
     A load with ``read_slices`` is read by that many tasks or a few more, one per condition of its slice plan;
@@ -85,7 +99,7 @@ def postgres_tables(spark: SparkSession, connections: dict[str, Connection]) ->
     """
 
     def rows(load: FullLoad) -> DataFrame:
-        options = connections[load.database].options(load.extract_chunk_size or DEFAULT_FETCH_ROWS)
+        options = connections[load.database].options(load.extract_chunk_size or fetch_rows)
 
         def answered(query: str) -> Sequence:
             return spark.read.format("jdbc").options(dbtable=f"({query}) AS plan", **options).load().collect()
