@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from snapdelta.llm import lexical_search, line_dedup, queries, runs
+from snapdelta.llm import lexical_search, line_dedup, near_dedup, queries, runs
 from snapdelta.llm.rows import numbered
 from tests.oracle import connect, differences
 
@@ -269,3 +269,76 @@ def test_bounds_are_never_below_scores_and_seldom_above():
             cells += 10
             exact += sum(bound <= 1.2 * score for bound, score in zip(bounds[:, column], scores))
     assert exact > 0.8 * cells
+
+
+# ---- near duplicates: tiles
+
+
+def near_sets(rng, n):
+    base = np.unique(rng.integers(1, 2**63, 120).astype(np.uint64))
+    sets = []
+    for _ in range(n):
+        own = base.copy()
+        at = rng.choice(len(own), int(rng.integers(0, 22)), replace=False)
+        own[at] = rng.integers(1, 2**63, len(at)).astype(np.uint64)
+        sets.append(np.unique(own))
+    return sets
+
+
+def test_tiles_find_each_link_in_its_first_bucket():
+    rng = np.random.default_rng(8)
+    sets = near_sets(rng, 60)
+    members = [near_dedup._Member(nth % 2, f"n{nth}", f"r{nth // 3}", sorted(rng.choice([3, 5, 7], int(rng.integers(1, 4)), replace=False).tolist()), own) for nth, own in enumerate(sets)]
+    jaccard = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    want = Counter()
+    for a, x in enumerate(members):
+        for y in members[a + 1 :]:
+            if x.root != y.root and set(x.bands) & set(y.bands) and jaccard(x.shingles, y.shingles) >= 0.8:
+                want[frozenset((x.node, y.node))] += 1
+    found = Counter()
+    for band in (3, 5, 7):
+        held = [member for member in members if band in member.bands]
+        tiles = [[member for member in held if member.tile == tile] for tile in (0, 1)]
+        for low, high in ((0, 0), (0, 1), (1, 1)):
+            if tiles[low] and tiles[high]:
+                found.update(frozenset(pair) for pair in near_dedup.links_of_tiles(band, tiles[low], tiles[high], 0.8))
+    assert found == want and len(want) > 50
+
+
+@pytest.mark.parametrize("bands", [1, 3])
+def test_large_buckets_lose_no_link(spark, monkeypatch, bands):
+    """Every text shares its buckets with many; few pairs are near, so that pivots leave most of it open."""
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    monkeypatch.setattr(near_dedup, "TILE", 16)
+    monkeypatch.setattr(near_dedup, "band_keys", lambda marks: np.stack([np.arange(len(marks)) % 2 + 10 * band for band in range(bands)], axis=1).astype(np.int64))
+    rng = random.Random(1)
+    words = [f"w{nth}" for nth in range(90)]
+    texts = {nth: f"x{nth} " + " ".join(word if rng.random() > rate else f"x{nth}" for word in words) for nth, rate in enumerate([0.0, 0.01, 0.02, 0.03, 0.05] * 20)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    shingler = near_dedup.Shingler()
+    sets = [shingler.of(texts[nth]) for nth in range(100)]
+    root = list(range(100))
+
+    def find(nth):
+        while root[nth] != nth:
+            nth = root[nth]
+        return nth
+
+    for a in range(100):
+        for b in range(a):
+            if a % 2 == b % 2 and near_dedup.weighted_jaccard(sets[a], sets[b]) >= 0.8:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    assert found == {nth: find(nth) for nth in range(100)}
+    assert 5 < len(set(found.values())) < 95
+
+
+def test_one_of_each_keeps_columns_that_its_own_are_named_like(spark):
+    text = " ".join(f"w{nth}" for nth in range(40))
+    rows = [(1, text, "a", 5, "r"), (2, text + " end", "b", 6, "s"), (2, "other words of their own", "c", 7, "t"), (None, "", "d", 8, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, stay_own string, rows int, row string").withColumn("own", F.lit(1)).withColumn("node", F.lit("n")).withColumn("id", F.lit(0))
+    kept = near_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["stay_own"], r["rows"], r["row"]) for r in kept.collect()) == [(0, "d", 8, "u"), (1, "a", 5, "r"), (2, "c", 7, "t")]
+    assert near_dedup.one_of_each(docs.limit(0)).count() == 0
