@@ -29,6 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from snapdelta.llm.frames import kept, text_of
+from snapdelta.llm.rows import text_slices
 from snapdelta.llm.words import REMEMBERED, chunks
 
 K1, B = 1.2, 0.75
@@ -271,6 +272,10 @@ def _pieces(items: DataFrame) -> Iterator[list[tuple]]:
         yield held
 
 
+#: Bytes of text that a task turns into strings at once.
+AT_ONCE = 1_000_000
+
+
 def leaks_of(index: Index, texts: list[str], least: float = SCORE, overlap: float = OVERLAP) -> list[list[tuple]]:
     """For each text (item, score, shares of item, question and answer, first word, end word) of each item that it leaks."""
     found = []
@@ -342,7 +347,12 @@ def contaminated(
         def look(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                leaks = [(ids[at], *leak) for at, own in enumerate(leaks_of(index.value, batch.column(1).to_pylist(), least, overlap)) for leak in own]
+                leaks = [
+                    (ids[at], *leak)
+                    for first, texts in text_slices(batch.column(1), AT_ONCE)
+                    for at, own in enumerate(leaks_of(index.value, texts, least, overlap), first)
+                    for leak in own
+                ]
                 columns = zip(*leaks, strict=True) if leaks else [[]] * len(arrow)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
@@ -364,8 +374,10 @@ def without_leaks(
 
         def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = [text or "" for text in batch.column(text_col).to_pylist()]
-                yield batch.filter(pa.array([not leaks for leaks in leaks_of(index.value, texts, least, overlap)], pa.bool_()))
+                stays = []
+                for _, texts in text_slices(batch.column(text_col), AT_ONCE):
+                    stays += [not leaks for leaks in leaks_of(index.value, [text or "" for text in texts], least, overlap)]
+                yield batch.filter(pa.array(stays, pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)
     return docs

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapdelta.llm.frames import kept
 from snapdelta.llm.histogram import find_cuts
-from snapdelta.llm.words import chunks, mixed, text_hashes
+from snapdelta.llm.rows import text_slices
+from snapdelta.llm.words import mixed, text_hashes
 
 #: Labelled rows used at most, the ones with the smallest hash of their id; half fit, half set the cutoff.
 SAMPLE = 20_000
@@ -80,8 +81,14 @@ def _buckets(hashes: np.ndarray, shift: int, table: int) -> np.ndarray:
     return ((hashes >> np.uint64(shift)) & np.uint64(BUCKETS - 1)).astype(np.int64) + table * BUCKETS
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> list[str]:
-    return [text or "" for text in batch.column(column).to_pylist()]
+#: Bytes of text that a task turns into strings at once.
+AT_ONCE = 500_000
+
+
+def _texts(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """A few texts at a time, with the place of the first; a null is the empty text."""
+    for at, some in text_slices(texts, AT_ONCE):
+        yield at, [text or "" for text in some]
 
 
 @dataclass
@@ -94,18 +101,16 @@ class ResamplingModel:
     k: int | None = None
     least_key: float = float("-inf")
 
-    def weights(self, features: Features, texts: list[str]) -> np.ndarray:
+    def weights(self, features: Features, texts: pa.Array) -> np.ndarray:
         """The mean log ratio of a text's n-grams, so that long and short texts compare."""
         found = np.zeros(len(texts))
-        at = 0
-        for some in chunks(texts, 500_000):
+        for at, some in _texts(texts):
             buckets, owner = features.of(some)
             first, second = self.ratios[buckets]
             ratio = np.where(first * second > 0, np.where(np.abs(first) < np.abs(second), first, second), 0.0)
             total = np.bincount(owner, ratio, len(some))
             count = np.bincount(owner, minlength=len(some))
             found[at : at + len(some)] = total / np.maximum(count, 1)
-            at += len(some)
         return found
 
     def keys(self, ids: list, weights: np.ndarray) -> np.ndarray:
@@ -133,14 +138,11 @@ def _counts(marked: DataFrame) -> np.ndarray:
         features = Features()
         totals = np.zeros((2, TABLES * BUCKETS), np.int64)
         for batch in batches:
-            texts = _texts(batch, "body")
             fits = np.array([part == FIT_GOOD for part in batch.column("part").to_pylist()], bool)
-            at = 0
-            for some in chunks(texts, 500_000):
+            for at, some in _texts(batch.column("body")):
                 buckets, owner = features.of(some)
                 totals[0] += np.bincount(buckets.ravel(), minlength=TABLES * BUCKETS)
                 totals[1] += np.bincount(buckets[:, fits[at + owner]].ravel(), minlength=TABLES * BUCKETS)
-                at += len(some)
         seen = np.flatnonzero(totals[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen, pa.int32()), pa.array(totals[0][seen]), pa.array(totals[1][seen])], names=["bucket", "raw", "target"]
@@ -197,7 +199,7 @@ def _scored(rows: DataFrame, model: ResamplingModel) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            weights = model.weights(features, _texts(batch, "body"))
+            weights = model.weights(features, batch.column("body"))
             keys = model.keys(batch.column("id").to_pylist(), weights)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("part"), pa.array(weights), pa.array(keys), pa.array(descending(keys), pa.string())],
@@ -251,7 +253,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 1, sample: int = S
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            weights = model.weights(features, _texts(batch, text_col))
+            weights = model.weights(features, batch.column(text_col))
             good = model.keys(batch.column(id_col).to_pylist(), weights) >= model.least_key
             yield batch.filter(pa.array(good))
 
