@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from snapdelta.llm.frames import kept
+from snapdelta.llm.frames import gathered, kept
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,6 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     # an edge always goes from the greater node to the smaller
     now = kept(_tidy(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))))
+    now = gathered(now, now.count())
     before = None
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,6 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v")))
         now = kept(_tidy(small))
         mark = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
+        now = gathered(now, mark[0])
         if mark == before:
             break
         before = mark

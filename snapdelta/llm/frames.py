@@ -18,6 +18,16 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+#: Narrow rows that are worth a partition of their own.
+PART_ROWS = 100_000
+
+
+def gathered(frame: DataFrame, rows: int) -> DataFrame:
+    """A stored frame of so many narrow rows in no more partitions than they are worth, so that the shuffles behind it
+    do not write a file for each of many nearly empty ones."""
+    return frame.coalesce(rows // PART_ROWS + 1)
+
+
 def given(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

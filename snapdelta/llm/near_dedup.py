@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from snapdelta.llm.components import components
-from snapdelta.llm.frames import kept, stored, text_of
+from snapdelta.llm.frames import gathered, kept, stored, text_of
 from snapdelta.llm.rows import text_slices
 from snapdelta.llm.words import WORD, mixed, shingles, word_hashes
 
@@ -307,14 +307,16 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "d
     edges, compared, roots = None, None, None
     for turn in range(PIVOTS + 1):
         entries = kept(_open_entries(entries, roots))
+        entries = gathered(entries, entries.count())
         last = turn == PIVOTS
         sized = kept(entries.join(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band")) if last else None
         pairs = _tidy(_small_pairs(sized) if last else _pairs_with_pivot(entries, turn))
         if compared is not None:
             pairs = pairs.join(compared, ["low", "high"], "left_anti")
         pairs = kept(pairs.select("low", "high", "a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b")))
-        found = None
-        if not pairs.isEmpty():
+        found, n_pairs = None, pairs.count()
+        pairs = gathered(pairs, n_pairs)
+        if n_pairs:
             found = kept(_similar(pairs.select("a", "b"), texts, least))
             done = pairs.select("low", "high")
             compared = done if compared is None else compared.unionByName(done)
@@ -322,6 +324,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "d
             more = kept(_tile_links(sized, texts, least))
             found = more if found is None else found.unionByName(more)
         if found is not None:
+            found = gathered(found, found.count())
             edges = found if edges is None else edges.unionByName(found)
             roots = components(edges)
     members = rows.select("id", "node")
