@@ -1,20 +1,25 @@
-"""Personal data, and the terms around it that give it away.
+"""Personal data, and the terms of the same documents that give it away.
 
-Fixed forms (e-mail, IP, card, phone) are found by pattern; their values are the protected entities.
-Corpus co-occurrence then says how strongly a term near an entity reveals it: with n documents in
-all, the information content of an entity is log(n / n(entity)), and a term discloses the share
-log(n(term, entity) n / (n(term) n(entity))) of it. A term that discloses at least ``REMOVE`` is
-removed, one that discloses at least ``GENERALISE`` is generalised. Evidence must come from at least
-two different texts.
+Fixed forms (e-mail, IP, card, phone) are found by pattern. What they protect are entities: each value, and
+the groups it belongs to (the domain and the name parts of an e-mail, the network of an IP, the first six
+digits of a card or phone). Corpus co-occurrence by whole document then says how strongly a term reveals an
+entity: with n documents in all, the information content of an entity is log(n / n(entity)), and a term
+discloses the share log(n(term, entity) n / (n(term) n(entity))) of it. A term that discloses at least
+``REMOVE`` is removed, one that discloses at least ``GENERALISE`` is generalised, at each of its places in
+every document that holds the entity. Evidence must come from at least two different texts, and be worth
+``EVIDENCE`` nats: n(term, entity) log(n(term, entity) n / (n(term) n(entity))).
+
+A term can only disclose that much if n(term) is at most n(entity) (n / n(entity))^(1 - ``GENERALISE``), so
+only such pairs of a document's terms and entities are counted; no pair over the thresholds is left out.
 
 All of it is built-in column functions and joins; no Python runs on rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from snapdelta.llm.frames import kept, text_of
+from snapdelta.llm.frames import kept, stored, text_of
 
 # The kinds in the order in which they are listed, and their forms. Repeats are
 # possessive where what follows cannot match inside them, so that Java neither recurses nor goes back;
@@ -29,16 +34,18 @@ FORMS = {
 #: A text without this holds no match, and is not searched.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
-#: Characters on each side of an entity whose words are its context.
-CONTEXT = 80
 WORD = r"[\p{L}\p{N}_]+"
-#: Letters a word needs to be a term.
-TERM = r"^\p{L}{3,}$"
 REMOVE, GENERALISE = 0.95, 0.85
-#: Up to so many terms (of at most CONTEXT letters each) are sent to all executors; more are joined by shuffle.
+#: Nats by which a term and an entity must stand together more often than by chance.
+EVIDENCE = 6.0
+#: Letters that a part of an e-mail's name needs to be an entity.
+NAME = 3
+#: Up to so many terms are sent to all executors; more are joined by shuffle.
 BROADCAST_TERMS = 100_000
+#: Tasks that the rows of one very common entity or term are dealt to in a join.
+SALTS = 16
 
-SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string,left:string,right:string>>"
+SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
 def _digits(value: Column) -> Column:
@@ -80,15 +87,12 @@ def _found(kind: str, text: Column) -> Column:
         begin = held["at"] + F.length(pair["part"])
         end = begin + F.length(pair["match"])
         span = F.struct(
-            begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"),
-            pair["match"].alias("value"), F.right(pair["part"], F.lit(CONTEXT)).alias("left"), F.substring(pair["next"], 1, CONTEXT).alias("right"),
+            begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), pair["match"].alias("value")
         )
         spans = F.when(_valid(kind, pair["match"]), F.concat(held["spans"], F.array(span).cast(SPAN))).otherwise(held["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
-    pairs = F.transform(
-        matches, lambda match, i: F.struct(match.alias("match"), F.get(parts, i).alias("part"), F.get(parts, i + 1).alias("next"))
-    )
+    pairs = F.transform(matches, lambda match, i: F.struct(match.alias("match"), F.get(parts, i).alias("part")))
     searched = text.rlike("[0-9]") if kind != "email" else F.lit(True)
     if NEEDS[kind]:
         searched = F.contains(text, F.lit(NEEDS[kind])) & searched
@@ -100,42 +104,51 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[_found(kind, text) for kind in KINDS]))
 
 
-def _context(part: Column, before: bool, start: Column) -> Column:
-    """The words of a piece of text beside an entity with their places; one that the piece cuts off is left out."""
-    words = F.regexp_extract_all(part, F.lit(WORD), F.lit(0))
-    gaps = F.split(part, WORD, -1)
-    cut = F.length(part) >= CONTEXT
-    begin = F.struct(start.alias("at"), F.array().cast("array<struct<term:string,start:int,end:int>>").alias("words"))
-
-    def step(held: Column, pair: Column) -> Column:
-        first = held["at"] + F.length(pair["gap"])
-        last = first + F.length(pair["word"])
-        word = F.struct(F.lower(pair["word"]).alias("term"), first.alias("start"), last.alias("end"))
-        return F.struct(last.alias("at"), F.concat(held["words"], F.array(word)).alias("words"))
-
-    pairs = F.transform(words, lambda word, i: F.struct(word.alias("word"), F.get(gaps, i).alias("gap")))
-    found = F.aggregate(pairs, begin, step, lambda held: held["words"])
-    count = F.size(found)
-    whole = F.slice(found, F.lit(2), F.greatest(count - 1, F.lit(0))) if before else F.slice(found, F.lit(1), F.greatest(count - 1, F.lit(0)))
-    return F.filter(F.when(cut & (count > 0), whole).otherwise(found), lambda word: word["term"].rlike(TERM))
-
-
-def _occurrences(rows: DataFrame) -> DataFrame:
-    """(id, digest, entity, term, start, end): the terms near each entity that no base span covers."""
-    near = F.concat(
-        _context(F.col("span.left"), True, F.col("span.start") - F.length("span.left")), _context(F.col("span.right"), False, F.col("span.end"))
+def _entities(span: Column) -> Column:
+    """What a span protects: its value and the groups of it."""
+    value = F.lower(span["value"])
+    name = F.filter(F.split(F.split_part(value, F.lit("@"), F.lit(1)), "[^a-z]+"), lambda part: F.length(part) >= NAME)
+    domain = F.array(F.concat(F.lit("domain:"), F.split_part(value, F.lit("@"), F.lit(2))))
+    email = F.concat(domain, F.transform(name, lambda part: F.concat(F.lit("name:"), part)))
+    network = F.array(F.concat(F.lit("network:"), F.substring_index(value, ".", 3)))
+    prefix = F.array(F.concat(span["kind"], F.lit(" prefix:"), F.substring(_digits(value), 1, 6)))
+    groups = F.when(span["kind"] == "email", email).when(span["kind"] == "ip", network).otherwise(prefix)
+    return F.transform(F.concat(F.array(F.concat(span["kind"], F.lit(":"), value)), groups), lambda entity: F.md5(entity))
+
+
+def _terms(text: Column) -> Column:
+    """The different words of a text in small letters."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda word: F.lower(word)))
+
+
+def _salted(many: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """An inner join in which the rows of ``many`` that share a key are dealt to ``SALTS`` tasks."""
+    dealt = many.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+    spread = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(spread, [*on, "salt"]).drop("salt")
+
+
+def _holders(rows: DataFrame, total: int) -> DataFrame:
+    """Once per id and text: the body, the spans' entities that another text holds too, each with the greatest n(term)
+    that can reveal it, the greatest of these (``most``), and the number of ``copies``."""
+    held = rows.filter(F.size("spans") > 0)
+    each = held.select("key", F.xxhash64("digest").alias("print"), F.explode(F.array_distinct(F.flatten(F.transform("spans", _entities)))).alias("entity"))
+    shared = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.min("print").alias("low"), F.max("print").alias("high")).filter("low != high")
+    limit = F.col("n_entity") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - GENERALISE))
+    # a rounding error leaves no pair out
+    shared = shared.select("entity", "n_entity", (limit * (1 + 1e-9)).alias("limit"))
+    listed = _salted(each, shared, ["entity"]).groupBy("key").agg(
+        F.collect_set(F.struct("entity", "n_entity", "limit")).alias("entities"), F.max("limit").alias("most"), F.count(F.lit(1)).alias("entries")
     )
-    free = F.filter(near, lambda word: ~F.exists("spans", lambda span: (span["start"] < word["end"]) & (word["start"] < span["end"])))
-    each = rows.select("id", "digest", "spans", F.explode("spans").alias("span"))
-    entity = F.md5(F.concat_ws(":", "span.kind", F.lower("span.value"))).alias("entity")
-    words = each.select("id", "digest", entity, F.explode(free).alias("word"))
-    return words.select("id", "digest", "entity", "word.term", "word.start", "word.end")
+    listed = listed.withColumn("copies", (F.col("entries") / F.size("entities")).cast("long")).drop("entries")
+    bodies = held.select("key", "digest", "body").dropDuplicates(["key"])
+    joined = bodies.join(listed, "key").select("key", F.xxhash64("digest").alias("print"), "body", "entities", "most", "copies", _terms(F.col("body")).alias("terms"))
+    return stored(joined, "personal-holders")
 
 
 def _term_counts(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """In how many rows of the corpus each of the terms stands."""
-    listed = F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(WORD), F.lit(0)))
-    words = texts.select(F.explode(listed).alias("term"))
+    words = texts.select(F.explode(_terms(F.col("body"))).alias("term"))
     if terms.count() <= BROADCAST_TERMS:
         words = words.join(F.broadcast(terms), "term", "left_semi")
         return words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
@@ -148,45 +161,63 @@ def disclosure(n_both: Column, n_term: Column, n_entity: Column, n: Column) -> C
     return F.when(content > 0, F.log2(n_both * n / (n_term * n_entity)) / content).otherwise(0.0)
 
 
-def _revealing(rows: DataFrame, seen: DataFrame, texts: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms over the lesser threshold, counted over all documents."""
-    total = rows.count()
-    together = seen.select("id", "digest", "entity", "term").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_both"), (F.min("digest") != F.max("digest")).alias("proven")
+def _shown(holders: DataFrame, texts: DataFrame, total: int) -> DataFrame:
+    """(key, term, disclosure) of the terms of each document that reveal one of its entities, counted over all documents."""
+    words = holders.select("key", "print", F.explode("terms").alias("term"))
+    common = words.groupBy("term").agg(F.min("print").alias("low"), F.max("print").alias("high")).filter("low != high").select("term")
+    counted = kept(_term_counts(texts, kept(common)))
+    possible = _salted(holders.select("key", "most", F.explode("terms").alias("term")), counted, ["term"]).filter("n_term <= most")
+    pairs = possible.select("key", "term", "n_term").join(holders.select("key", "print", "copies", "entities"), "key")
+    pairs = pairs.select("key", "print", "copies", "term", "n_term", F.explode("entities").alias("entity")).filter("n_term <= entity.limit")
+    pairs = kept(pairs.select("key", "print", "copies", "term", "n_term", "entity.entity", "entity.n_entity"))
+    together = pairs.groupBy("entity", "term").agg(
+        F.sum("copies").alias("n_both"), F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity"), F.min("print").alias("low"), F.max("print").alias("high")
     )
-    together = kept(together.filter("proven").drop("proven"))
-    holding = rows.select(F.explode("spans").alias("span"), "id", "digest").select(
-        F.md5(F.concat_ws(":", "span.kind", F.lower("span.value"))).alias("entity"), "id", "digest"
-    )
-    entities = holding.distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = _term_counts(texts, kept(together.select("term").distinct()))
-    share = disclosure(F.col("n_both"), F.col("n_term"), F.col("n_entity"), F.lit(total))
-    return together.join(entities, "entity").join(terms, "term").select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= GENERALISE)
+    n_both, n_term, n_entity = F.col("n_both"), F.col("n_term"), F.col("n_entity")
+    evidence = n_both * F.log(n_both * total / (n_term * n_entity))
+    share = disclosure(n_both, n_term, n_entity, F.lit(total))
+    revealing = together.filter("low != high").filter(evidence >= EVIDENCE).select("entity", "term", share.alias("disclosure"))
+    revealing = kept(revealing.filter(F.col("disclosure") >= GENERALISE))
+    return kept(_salted(pairs.select("key", "entity", "term"), revealing, ["entity", "term"]).groupBy("key", "term").agg(F.max("disclosure").alias("disclosure")))
+
+
+def _places(holders: DataFrame, shown: DataFrame) -> DataFrame:
+    """(key, places): every place of the revealing terms in each document that has some, by start."""
+    marked = holders.select("key", "body").join(shown.select("key").distinct(), "key", "left_semi")
+    pieces = F.arrays_zip(F.split("body", WORD, -1).alias("gap"), F.regexp_extract_all("body", F.lit(WORD), F.lit(0)).alias("word"))
+    words = marked.select("key", F.posexplode(pieces).alias("nth", "piece")).filter("piece.word IS NOT NULL")
+    words = words.select("key", "nth", F.lower("piece.word").alias("term"), F.length("piece.gap").alias("gap"), F.length("piece.word").alias("size"))
+    # a running sum over the words of one document
+    end = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("key").orderBy("nth")).cast("int")
+    words = words.select("key", "term", "size", end.alias("end"))
+    found = words.join(shown, ["key", "term"])
+    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("action")
+    place = F.struct((F.col("end") - F.col("size")).alias("start"), "end", "term", "disclosure", action)
+    return found.groupBy("key").agg(F.array_sort(F.collect_list(place)).alias("places"))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the id, ``digest`` of the text, ``base`` and ``terms``.
 
     ``base`` holds (start, rank, kind, end, value) by start and kind; ``terms`` holds (start, end,
-    term, disclosure, action) by start, where a term stands near an entity that it reveals; never in a
-    document without one. Positions count code points, ends exclusive. A null or empty text has no
-    spans; rows equal in id and text count as one piece of evidence, and each gets its row; an empty
-    table gives an empty one; other columns are not read.
+    term, disclosure, action) by start, for each place of a term that reveals an entity of the document
+    and that no base span covers; never in a document without an entity. Positions count code points,
+    ends exclusive. A null or empty text has no spans; rows equal in id and text count once each, but
+    are one text as evidence, and each gets its row; an empty table gives an empty one; other columns
+    are not read.
     """
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("body"))
-    rows = kept(texts.select("id", F.md5("body").alias("digest"), base_spans(F.col("body")).alias("spans")))
-    holding = rows.filter(F.size("spans") > 0)
-    seen = kept(_occurrences(holding))
-    revealing = _revealing(rows, seen, texts)
-    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise").alias("action")
-    shown = seen.join(revealing, ["entity", "term"]).groupBy("id", "digest", "start", "end", "term").agg(F.max("disclosure").alias("disclosure"))
-    # one list per document, no longer than its text
-    listed = shown.groupBy("id", "digest").agg(F.array_sort(F.collect_list(F.struct("start", "end", "term", "disclosure", action))).alias("terms"))
-    listed = listed.select(F.col("id").alias("at_id"), F.col("digest").alias("at_digest"), "terms")
-    joined = rows.join(listed, (F.col("digest") == F.col("at_digest")) & F.col("id").eqNullSafe(F.col("at_id")), "left")
-    base = F.transform("spans", lambda x: F.struct(*[x[name].alias(name) for name in ("start", "rank", "kind", "end", "value")]))
+    key = F.concat(F.coalesce(F.concat(F.lit("="), F.col("id").cast("string")), F.lit("")), F.lit(":"), "digest")
+    rows = texts.withColumn("digest", F.md5("body")).withColumn("key", key).withColumn("spans", base_spans(F.col("body")))
+    # the text goes along only where it holds an entity
+    rows = stored(rows.select("id", "digest", "key", "spans", F.when(F.size("spans") > 0, F.col("body")).alias("body")), "personal-rows")
+    total = rows.count()
+    holders = _holders(rows, total)
+    places = _places(holders, _shown(holders, texts, total))
+    joined = rows.drop("body").join(places, "key", "left")
+    free = F.filter("places", lambda word: ~F.exists("spans", lambda span: (span["start"] < word["end"]) & (word["start"] < span["end"])))
     none = F.array().cast("array<struct<start:int,end:int,term:string,disclosure:double,action:string>>")
-    return joined.select(F.col("id").alias(id_col), "digest", base.alias("base"), F.coalesce("terms", none).alias("terms"))
+    return joined.select(F.col("id").alias(id_col), "digest", F.col("spans").alias("base"), F.coalesce(free, none).alias("terms"))
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
