@@ -1,8 +1,9 @@
 """Secrets in texts: fixed forms, and strings that a compressor cannot explain.
 
-Fixed forms are found by pattern. Beyond them, a long run of key characters that follows a sensitive
-word is a candidate; its novelty is the number of bytes by which it lengthens the zstandard frame of
-the code and prose around it, the compressor being primed with a dictionary of common identifiers.
+Fixed forms are found by pattern. Beyond them, each run of key characters that follows a sensitive word
+in the same paragraph, however far behind, is a candidate; its novelty is the number of bytes by which it
+lengthens the zstandard frame of the code and prose around it, the compressor being primed with a
+dictionary of common identifiers. The fixed forms are measured alike, but stay whatever they measure.
 Other places of the same string around it are blanked, so that a repeated secret does not explain itself.
 Words and names that the surroundings or the dictionary know cost little; random strings cost
 nearly a byte a character or more, and are reported.
@@ -11,6 +12,7 @@ nearly a byte a character or more, and are reported.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,14 +28,23 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a shorter run fails whole, so only long on
 LEAST = {"assign": 12, "access": 18}
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
-#: Words that make what follows them sensitive.
-SENSITIVE = (*ASSIGN_WORDS, "passphrase", "pwd", "credential", "private key", "access key", "bearer", "authorization", "signing key")
-#: How many characters after the start of a sensitive word a candidate may begin.
-REACH = 48
+#: Words that make what follows them sensitive, in the languages of the corpus.
+SENSITIVE = re.compile(
+    r"password|passwd|passphrase|passcode|passwort|pwd|secret|token|credential|bearer|auth(?!or)|authoriz|"
+    r"(?:api|private|access|signing|encryption)[ _-]?key|kennwort|schlüssel|clave|contraseña|mot de passe",
+    re.I,
+)
+#: A text without any of these holds no sensitive word, and is not searched.
+STEMS = ("pass", "pwd", "secret", "token", "credential", "bearer", "auth", "key", "kennwort", "schlüssel", "clave", "contraseña")
+PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
+#: Key characters that a candidate has at least, by how many of small letters, capitals and digits are among them;
+#: a capital at the start alone makes no class, and a candidate of one class must stand behind an assignment.
+LEAST_LENGTH = {0: 16, 1: 16, 2: 14, 3: 12}
+ASSIGNED = re.compile(r"[:=]\s*[\"']?$")
 #: Characters on each side that a candidate is measured against.
 AROUND = 2_000
 #: Key characters, with "=" only as padding behind them: before them it assigns.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 #: Bytes of frame for each character of a candidate from which on it is reported.
 NOVELTY = 0.8
 
@@ -88,26 +99,40 @@ class Novelty:
         return (size(before + text[start:end] + after) - size(before + after)) / (end - start)
 
 
+def _long_enough(text: str, start: int, end: int) -> bool:
+    own = text[start:end]
+    rest = own[1:]
+    # a capital that starts a word tells no more than its small letter
+    capitals = any("A" <= x <= "Z" for x in rest)
+    classes = capitals + any("a" <= x <= "z" for x in rest) + any("0" <= x <= "9" for x in own)
+    if len(own.rstrip("=")) < LEAST_LENGTH[classes]:
+        return False
+    return classes > 1 or bool(ASSIGNED.search(text, max(0, start - 8), start))
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs of key characters that begin within reach of a sensitive word, each once."""
-    low = text.lower()
-    if len(low) != len(text):  # a letter whose small form is longer; ASCII words are found all the same
-        low = text.translate({upper: upper + 32 for upper in range(65, 91)})
-    found = set()
-    for word in SENSITIVE:
-        at = low.find(word)
-        while at >= 0:
-            end = at + len(word)
-            found.update(m.span() for m in CANDIDATE.finditer(text, end, min(len(text), end + REACH + 256)) if m.start() <= end + REACH)
-            at = low.find(word, end)
-    # the search may have cut the last run off
-    return sorted({CANDIDATE.match(text, start).span() for start, _ in found})
+    """Runs of key characters behind a sensitive word of their paragraph, in order."""
+    found, at = [], 0
+    folded = text.casefold()
+    if not any(stem in folded for stem in STEMS):
+        return found
+    while word := SENSITIVE.search(text, at):
+        stop = PARAGRAPH.search(text, word.end())
+        at = stop.end() if stop else len(text)
+        found += [m.span() for m in CANDIDATE.finditer(text, word.end(), at) if _long_enough(text, *m.span())]
+    return found
 
 
 def novel_spans(text: str, known: list[tuple[str, int, int]], novelty: Novelty, least: float = NOVELTY) -> list[tuple[str, int, int, float]]:
+    """Candidates that measure enough and overlap none of the known spans."""
+    starts, ends = [], []
+    for _, start, end in sorted(known, key=lambda span: span[1]):
+        starts.append(start)
+        ends.append(max(end, ends[-1] if ends else end))
     found = []
     for start, end in candidates(text):
-        if any(start < e and s < end for _, s, e in known):
+        before = bisect_left(starts, end)  # known spans that start before the candidate ends
+        if before and ends[before - 1] > start:
             continue
         measured = novelty.of(text, start, end)
         if measured >= least:
@@ -125,8 +150,8 @@ def scan_secrets(
 ) -> DataFrame:
     """One row per row of ``docs``: the id and ``spans``, by start and then by kind as listed in ``KINDS``.
 
-    Positions count code points, ends exclusive. Base kinds stay as they are; a novel span never
-    overlaps one. A null or empty text has no spans; repeated rows are scanned each; an empty table
+    Positions count code points, ends exclusive; ``novelty`` is the bytes of frame for each character. Base
+    kinds stay as they are; a novel span never overlaps one. A null or empty text has no spans; repeated rows are scanned each; an empty table
     gives an empty one; other columns are not read. Rows are scanned where they lie, whole.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -138,7 +163,7 @@ def scan_secrets(
             rows = []
             for text in batch.column(1).to_pylist():
                 base = base_spans(text or "")
-                spans = [(*span, None) for span in base] + novel_spans(text or "", base, novelty, least_novelty)
+                spans = [(*span, novelty.of(text, *span[1:])) for span in base] + novel_spans(text or "", base, novelty, least_novelty)
                 spans.sort(key=lambda span: (span[1], rank[span[0]]))
                 rows.append([dict(zip(("kind", "start", "end", "novelty"), span, strict=True)) for span in spans])
             made = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("novelty", pa.float64())])
