@@ -2,7 +2,8 @@
 
 The rows are ordered by a key: the digest of the text, then the digest of the id. Each round counts
 the exact bytes below candidate keys over all partitions and refines the probes around each of the
-splitters until a probe is within the tolerance. Then the rows are exchanged once, by key range.
+splitters until a probe is within the tolerance. Each shard is split in as many ranges as the cluster
+has tasks for, and the rows are exchanged once, each to the partition whose number is its range's.
 Equal texts lie side by side, so a splitter parts a group of them only if no key outside the group
 is near enough to the even split.
 """
@@ -39,11 +40,28 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE) -> lis
     return sorted(found)
 
 
-def shard_of(key: Column, least: list[str]) -> Column:
-    """The number of splitters at or below a key."""
-    if not least:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(split) for split in least]), lambda split: split <= key)).cast("int")
+def ranges_of(keys: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[list[str]]:
+    """For each shard the least key of each of its ranges; the first shard's first is the empty text."""
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = max(1, -(-parts // shards))
+    # a shard's edge is as near to the even split as without ranges, unless a range is small against the tolerance
+    found = ["", *splitters(keys, shards * per, min(tolerance * per, 0.25))]
+    return [found[at : at + per] for at in range(0, shards * per, per)]
+
+
+def _below(key: Column, least: Column) -> Column:
+    return F.size(F.filter(least, lambda split: split <= key)).cast("int")
+
+
+def _placed(rows: DataFrame, ranges: list[list[str]]) -> DataFrame:
+    """``rows`` with the shard and range of their ``key``, each range in a partition of its own, in the order of the key."""
+    edges = F.array(*[F.lit(least[0]) for least in ranges])
+    inner = F.array(*[F.array(*[F.lit(split) for split in least]) for least in ranges])
+    shard = (_below(F.col("key"), edges) - 1).alias("shard")
+    placed = rows.select("*", shard)
+    per = len(ranges[0])
+    placed = placed.withColumn("range", (F.col("shard") * per + _below(F.col("key"), F.get(inner, F.col("shard"))) - 1).cast("int"))
+    return placed.repartitionById(len(ranges) * per, "range").sortWithinPartitions("key")
 
 
 def assign_shards(
@@ -64,27 +82,25 @@ def assign_shards(
             key_of(F.col(id_col), text).alias("key"),
         )
     )
-    placed = keys.withColumn("shard", shard_of(F.col("key"), splitters(keys, shards, tolerance)))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = kept(placed.repartitionByRange(parts, "key").sortWithinPartitions("key", "id").select("id", "size", "text_crc32", "shard"))
-    numbered = ordered.withColumn("place", F.monotonically_increasing_id())
-    numbered = numbered.select("*", F.shiftright("place", 33).cast("int").alias("part"), F.col("place").bitwiseAND((1 << 33) - 1).alias("nth"))
-    counts = sorted(numbered.groupBy("part", "shard").agg(F.count(F.lit(1)).alias("n")).collect())  # partitions and shards at most
-    offsets, so_far, before = [], dict.fromkeys(range(shards), 0), {}
-    for part, shard, n in counts:
-        offsets.append((part, shard, so_far[shard] - before.get(part, 0)))
-        so_far[shard] += n
-        before[part] = before.get(part, 0) + n
-    starts = docs.sparkSession.createDataFrame(offsets, "part int, shard int, start long")
-    found = numbered.join(F.broadcast(starts), ["part", "shard"])  # a row per partition and shard at most
+    ordered = kept(_placed(keys, ranges_of(keys, shards, tolerance)).select("id", "size", "text_crc32", "shard", "range"))
+    nth = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("nth")  # a partition holds one range
+    numbered = ordered.select("*", nth)
+    starts, shard_now, so_far = [], None, 0
+    for shard, at, n in sorted(numbered.groupBy("shard", "range").agg(F.count(F.lit(1)).alias("n")).collect()):  # a row per range
+        so_far = so_far if shard == shard_now else 0
+        starts.append((at, so_far))
+        shard_now, so_far = shard, so_far + n
+    found = numbered.join(F.broadcast(docs.sparkSession.createDataFrame(starts, "range int, start long")), "range")  # a row per range
     return found.select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("nth") + F.col("start")).alias("slot"), F.lit(None).cast("int").alias("grown_shard")
     )
 
 
-def exchanged(docs: DataFrame, least: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows themselves with their shard, moved once so that a shard lies in a few tasks, in key order; ready to be written by shard."""
+def exchanged(docs: DataFrame, ranges: list[list[str]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, shard): the rows themselves, moved once by ``ranges_of`` and in the order of their key, ready to be written by shard.
+
+    A null text is the empty one; repeated rows lie side by side; an empty table gives an empty one; the row is one
+    value, so that none of its columns clashes with ours.
+    """
     key = key_of(F.col(id_col), text_of(text_col))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = docs.select(F.struct("*").alias("row"), key.alias("key"), shard_of(key, least).alias("shard"))
-    return placed.repartitionByRange(parts, "key").sortWithinPartitions("key").select("row", "shard")
+    return _placed(docs.select(F.struct("*").alias("row"), key.alias("key")), ranges).select("row", "shard")
