@@ -24,6 +24,8 @@ from snapdelta.session import work_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+#: A shared folder whose token counts outlive the session; without it a run starts with an empty cache.
+TOKEN_CACHE = "spark.snapdelta.tokenCache"
 
 
 def _joined(spans: Column, span: str = "kind") -> Column:
@@ -38,7 +40,8 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     docs = given(spark, folder, "documents")
-    return token_counts.count_tokens(docs, work_folder(spark, "token-counts"), public_tokenizers.path(TOKENIZER), TOKEN_LIMIT)
+    cache = spark.conf.get(TOKEN_CACHE, None) or work_folder(spark, "token-counts")
+    return token_counts.count_tokens(docs, cache, public_tokenizers.path(TOKENIZER), TOKEN_LIMIT)
 
 
 def op2_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
