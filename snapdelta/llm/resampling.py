@@ -1,13 +1,15 @@
 """A quality classifier by importance resampling.
 
 Two generative models of hashed n-grams (words, word pairs, and the first letters of words): one of target text (labelled as good and not
-toxic), one of all raw text. A document's weight is the log ratio of the two, and the documents are
-drawn without replacement by the Gumbel top-k rule: the k greatest sums of log weight and seeded
-Gumbel noise stay.
+toxic), one of all raw text. A document's log weight is the sum of the log ratios of its n-grams over
+the cutoff, and the documents are drawn without replacement by the Gumbel top-k rule: the k greatest
+sums of log weight and seeded standard Gumbel noise stay.
 
 The target model is fitted on a bounded sample of labelled rows (``SAMPLE``); the raw model counts
-every document. The other half of the sample sets k: the number of documents whose weight is above
-the cutoff that parts its good rows from its bad ones.
+every document. The other half of the sample sets the cutoff, the mean log ratio that parts its good
+rows from its bad ones, and with it k: the number of documents whose mean is not below it. The noise
+is worth one n-gram or two of evidence: it draws among documents near the cutoff, mostly short
+ones, and a text of many words that are plainly good or bad stays or goes whatever its noise.
 """
 
 from __future__ import annotations
@@ -42,8 +44,8 @@ PRIOR = 5.0
 #: A ratio counts if it is this far from none, in standard deviations and as a log; the rest is noise.
 SURE = 6.0
 LEAST_RATIO = 0.7
-#: Log weights are divided by this before the noise is added.
-TEMPERATURE = 0.001
+#: Log weights are divided by this before the noise is added; 1 draws in proportion to the weights.
+TEMPERATURE = 1.0
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 SAME = np.uint64(1)
 FIT_GOOD, CUT_GOOD, CUT_BAD = 1, 2, 3
@@ -97,27 +99,32 @@ class ResamplingModel:
 
     ratios: np.ndarray
     seed: int
-    cutoff: float | None = None
+    cutoff: float = float("-inf")
     k: int | None = None
     least_key: float = float("-inf")
 
-    def weights(self, features: Features, texts: pa.Array) -> np.ndarray:
-        """The mean log ratio of a text's n-grams, so that long and short texts compare."""
-        found = np.zeros(len(texts))
+    def means(self, features: Features, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The mean log ratio of each text's n-grams, and how many it has."""
+        means, counts = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for at, some in _texts(texts):
             buckets, owner = features.of(some)
             first, second = self.ratios[buckets]
             ratio = np.where(first * second > 0, np.where(np.abs(first) < np.abs(second), first, second), 0.0)
             total = np.bincount(owner, ratio, len(some))
             count = np.bincount(owner, minlength=len(some))
-            found[at : at + len(some)] = total / np.maximum(count, 1)
-        return found
+            means[at : at + len(some)] = total / np.maximum(count, 1)
+            counts[at : at + len(some)] = count
+        return means, counts
 
-    def keys(self, ids: list, weights: np.ndarray) -> np.ndarray:
-        """Weight plus Gumbel noise that the id and the seed decide; a null id has noise of its own."""
+    def log_weights(self, means: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The log ratio of whole texts, summed over their n-grams, over the cutoff."""
+        return counts * (means - (self.cutoff if np.isfinite(self.cutoff) else 0.0))
+
+    def keys(self, ids: list, log_weights: np.ndarray) -> np.ndarray:
+        """Log weight plus Gumbel noise that the id and the seed decide; a null id has noise of its own."""
         draws = np.array([xxhash.xxh64_intdigest(str(i), self.seed) for i in ids], np.float64)
         uniform = (draws + 0.5) / 2.0**64
-        return weights / TEMPERATURE - np.log(-np.log(np.clip(uniform, 1e-15, 1 - 1e-15)))
+        return log_weights / TEMPERATURE - np.log(-np.log(np.clip(uniform, 1e-15, 1 - 1e-15)))
 
 
 def labelled_sample(labels: DataFrame, most: int = SAMPLE) -> DataFrame:
@@ -194,56 +201,71 @@ def descending(keys: np.ndarray) -> list[str]:
 
 
 def _scored(rows: DataFrame, model: ResamplingModel) -> DataFrame:
-    """id, part, log_weight, key (text that sorts from the greatest) of each row."""
+    """id, part, mean log ratio and number of n-grams of each row."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            weights = model.weights(features, batch.column("body"))
-            keys = model.keys(batch.column("id").to_pylist(), weights)
+            means, counts = model.means(features, batch.column("body"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("part"), pa.array(weights), pa.array(keys), pa.array(descending(keys), pa.string())],
-                names=["id", "part", "log_weight", "gumbel_key", "key"],
+                [batch.column("id"), batch.column("part"), pa.array(means), pa.array(counts)], names=["id", "part", "mean", "n_grams"]
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"id {kind}, part int, log_weight double, gumbel_key double, key string")
+    return rows.mapInArrow(score, f"id {kind}, part int, mean double, n_grams long")
+
+
+def _drawn(scored: DataFrame, model: ResamplingModel) -> DataFrame:
+    """id, log_weight, gumbel_key, key (text that sorts from the greatest) of each scored row."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            weights = model.log_weights(batch.column("mean").to_numpy(), batch.column("n_grams").to_numpy())
+            keys = model.keys(batch.column("id").to_pylist(), weights)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(weights), pa.array(keys), pa.array(descending(keys), pa.string())],
+                names=["id", "log_weight", "gumbel_key", "key"],
+            )
+
+    kind = scored.schema["id"].dataType.simpleString()
+    return scored.select("id", "mean", "n_grams").mapInArrow(draw, f"id {kind}, log_weight double, gumbel_key double, key string")
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, seed: int = 1, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[ResamplingModel, DataFrame]:
-    """The fitted model, its k and least key set, and the stored scores of all rows of ``docs``."""
+    """The fitted model, its k and least key set, and the stored keys of all rows of ``docs``."""
     sampled = labelled_sample(labels, sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
     # at most `sample` rows of two numbers
     marked = texts.join(F.broadcast(sampled), F.col("id") == F.col("label_id"), "left").select("id", "body", "part")
     model = ResamplingModel(log_ratios(_counts(marked)), seed)
     scored = kept(_scored(marked, model))
-    tried = scored.filter(F.col("part") > FIT_GOOD).select("id", "part", "log_weight").dropDuplicates(["id", "log_weight"]).toPandas()
-    good, bad = (tried.log_weight[tried.part == part].to_numpy() for part in (CUT_GOOD, CUT_BAD))
+    tried = scored.filter(F.col("part") > FIT_GOOD).select("id", "part", "mean").dropDuplicates(["id", "mean"]).toPandas()
+    good, bad = (tried["mean"][tried.part == part].to_numpy() for part in (CUT_GOOD, CUT_BAD))
     model.cutoff = best_cutoff(good, bad)
-    model.k = scored.filter(F.col("log_weight") >= model.cutoff).count()
+    model.k = scored.filter(F.col("mean") >= model.cutoff).count()
+    drawn = kept(_drawn(scored, model))
     if model.k:
-        keys = scored.select(F.lit(0).alias("group"), "key", F.lit(1).cast("long").alias("weight"))
+        keys = drawn.select(F.lit(0).alias("group"), "key", F.lit(1).cast("long").alias("weight"))
         cut = find_cuts(keys, [(0, model.k)], digits=3)[0, model.k]
         bits = ~int(cut.key, 16) & (2**64 - 1)
         bits = bits & (2**63 - 1) if bits >> 63 else ~bits & (2**64 - 1)
         model.least_key = float(np.array([bits], np.uint64).view(np.float64)[0])
     else:
         model.least_key = float("inf")
-    return model, scored
+    return model, drawn
 
 
 def classify(docs: DataFrame, labels: DataFrame, seed: int = 1, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the id, log_weight, gumbel_key and kept.
 
-    A null text is the empty one and weighs 0. Equal rows get equal keys, so ties stay or go together.
+    A null text is the empty one and weighs 0, so noise alone draws it. Equal rows get equal keys, so ties stay or go together.
     Labels with a null in them are not used; without good or without bad labels there is nothing to
     part, and all rows stay. An empty table gives an empty one; other columns are not read.
     """
-    model, scored = fit(docs, labels, seed, sample, id_col, text_col)
-    return scored.select(F.col("id").alias(id_col), "log_weight", "gumbel_key", (F.col("gumbel_key") >= model.least_key).alias("kept"))
+    model, drawn = fit(docs, labels, seed, sample, id_col, text_col)
+    return drawn.select(F.col("id").alias(id_col), "log_weight", "gumbel_key", (F.col("gumbel_key") >= model.least_key).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 1, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,7 +275,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, seed: int = 1, sample: int = S
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
-            weights = model.weights(features, batch.column(text_col))
+            weights = model.log_weights(*model.means(features, batch.column(text_col)))
             good = model.keys(batch.column(id_col).to_pylist(), weights) >= model.least_key
             yield batch.filter(pa.array(good))
 

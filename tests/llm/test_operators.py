@@ -387,6 +387,24 @@ def test_quality_model_parts_good_from_bad(spark):
     assert {r["kept"] for r in resampling.classify(docs, labels.limit(0)).collect()} == {True}
 
 
+def test_quality_draws_near_the_cutoff(spark, docs, labels):
+    drawn = []
+    for seed in (1, 2):
+        rows = resampling.classify(docs, labels, seed=seed).collect()
+        stays = {r["doc_id"] for r in rows if r["kept"]}
+        ranked = sorted(rows, key=lambda r: -r["gumbel_key"])
+        assert 0 < len(stays) < len(rows) and stays == {r["doc_id"] for r in ranked[: len(stays)]}
+        noise = np.array([r["gumbel_key"] - r["log_weight"] for r in rows])
+        assert abs(noise.mean() - 0.577) < 0.3 and 0.8 < noise.std() < 1.8
+        assert all(r["kept"] == (r["log_weight"] > 0) for r in rows if abs(r["log_weight"]) > 12)
+        drawn.append((stays, {r["doc_id"]: r["gumbel_key"] for r in rows}))
+    assert len(drawn[0][0]) == len(drawn[1][0]) and drawn[0][1] != drawn[1][1]
+    # two texts of like weight: the noise draws the heavier one in proportion to the weights
+    model = resampling.ResamplingModel(np.zeros(1), 7)
+    light, heavy = model.keys(range(20_000), np.zeros(20_000)), model.keys(range(20_000, 40_000), np.full(20_000, math.log(3)))
+    assert abs(np.mean(heavy > light) - 0.75) < 0.015
+
+
 def test_quality_of_odd_rows(odd, labels):
     assert resampling.classify(odd, labels).count() == odd.count()
     assert resampling.keep_good(odd, labels).columns == odd.columns
