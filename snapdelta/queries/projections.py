@@ -9,6 +9,7 @@ from snapdelta.operators.compact import current_state, latest_per_key, repeated_
 from snapdelta.operators.projection import prune
 from snapdelta.queries.inputs import LINE_LOAD, ORDER_LINES, order_lines, table
 from snapdelta.queries.registry import query
+from snapdelta.sinks.bucketed import BucketedLog
 from snapdelta.sources.tables import frames, parquet_tables
 
 
@@ -130,3 +131,14 @@ def current_state_of_unique_orders(spark, folder):
     """The same result when the snapshot is known to hold each key once."""
     snapshot, changes = _snapshot_and_changes(spark, folder)
     return current_state(snapshot, changes, ["order_id"], "changed_at", unique_snapshot=True)
+
+
+@query("current_state_bucketed", _CURRENT)
+def current_state_in_buckets(spark, folder):
+    """The same result out of a log in buckets by order: the snapshot and two runs of changes, each folded as it lands."""
+    snapshot, changes = _snapshot_and_changes(spark, folder)
+    log = BucketedLog.new(spark, ["order_id"], "changed_at", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    late = "changed_at > timestamp_ntz '2000-01-01'"
+    for run in (snapshot, changes.filter(f"NOT {late}"), changes.filter(late)):
+        log.append(run)
+    return log.current()
