@@ -351,6 +351,72 @@ def test_suffix_tree_learns_contexts(spark):
     assert all(whole[i] > base[i] + 20 for i in whole) and whole == pytest.approx(blocks)
 
 
+def tree_scores(tokens, trained):
+    """Scores by the definition, from counts of all words and of all runs of two and three."""
+    c = Counter(w for i in trained for w in tokens[i])
+    whole = sum(c.values()) + 0.1 * (len(c) + 1)
+
+    def state(seen, size, p):
+        gains = {w: n * math.log(n / size / p(w)) - (n - size * p(w)) for w, n in seen.items() if n > size * p(w)}
+        strong = {w: g for w, g in gains.items() if g >= 14}
+        if sum(strong.values()) < 20:
+            return None
+        left = 1 - sum(seen[w] - 0.75 for w in strong) / size
+        return left, {w: ((seen[w] - 0.75) / size + left * p(w)) / p(w) for w in strong}
+
+    def share(found, w):
+        return 1 if found is None else found[1].get(w, found[0])
+
+    def chance(w):
+        return (c[w] + 0.1) / whole
+
+    pairs, triples = {}, {}
+    for own in map(tokens.get, trained):
+        for at in range(len(own) - 1):
+            pairs.setdefault(own[at], Counter())[own[at + 1]] += 1
+        for at in range(len(own) - 2):
+            triples.setdefault(tuple(own[at : at + 2]), Counter())[own[at + 2]] += 1
+    ones = {u: state(seen, c[u], chance) for u, seen in pairs.items() if c[u] >= 100}
+    twos = {}
+    for (u, v), seen in triples.items():
+        if ones.get(u) and v in ones[u][1] and pairs[u][v] >= 100:
+            twos[u, v] = state(seen, pairs[u][v], lambda w, v=v: chance(w) * share(ones.get(v), w))
+    found = {}
+    for i, own in tokens.items():
+        found[i] = sum(math.log10(chance(w)) for w in own)
+        found[i] += sum(math.log10(share(ones.get(u), w)) for u, w in zip(own, own[1:]))
+        found[i] += sum(math.log10(share(twos.get((u, v)), w)) for u, v, w in zip(own, own[1:], own[2:]))
+    return found, ones, twos
+
+
+def test_the_tree_is_that_of_all_words(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(110):
+        words = [f"f{at}" for at in rng.integers(0, 400, 1200)]
+        words[0::5], words[1::5] = ["beta"] * 240, ["gamma"] * 240
+        for at in range(7, 400, 40):
+            words[at : at + 3] = f"rare{i % 9}", f"scarce{i % 3}", f"last{i % 9}"
+        words[499:502] = "alpha", "beta", f"odd{i}" if i in (3, 5, 6) else "gamma"
+        words[699:702] = "alpha", "beta", "gamma"
+        rows.append((i, " ".join(words)))
+    tokens = {i: [*text.split(), 0] for i, text in rows}
+    trained = [i for i in tokens if zlib.crc32(str(i).encode()) % 10]
+    right, ones, twos = tree_scores(tokens, trained)
+    assert twos["alpha", "beta"][1].keys() <= {"odd3", "odd5", "odd6"} and twos["alpha", "beta"][1] and ones["rare1"] and twos["rare1", "scarce1"][1]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    size = sum(len(state[1]) for state in ones.values() if state)
+    for settings in ({}, {"vocabulary_size": 30, "block": size // 2 + 1}):
+        found = {r["doc_id"]: r["score"] for r in suffix_tree.score_texts(frame, **settings).collect()}
+        assert found == pytest.approx(right)
+
+
+@pytest.mark.parametrize("text", ["", " ", "A b", "  A\tb\n\x0bc\x0c\r d ", "\x1cx\x85y\u00a0z\u2003 \u0130I", "\x00a \x00"])
+def test_words_of_the_tree_are_those_between_ascii_space(text):
+    counts, at, words = suffix_tree.tokens_of([text.encode(), b"end", b""])
+    assert words.take(at).to_pylist() == [*text.encode().lower().split(), b"end"] and counts.tolist() == [len(text.encode().split()), 1, 0]
+
+
 def test_suffix_tree_keeps_weak_entries(spark):
     rng = np.random.default_rng(11)
     rows = []
