@@ -45,25 +45,45 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
 
 
 def int8_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(a), len(b)))
-    for at in range(0, a.shape[1], RUN):
-        total += a[:, at : at + RUN].astype(np.float32) @ b[:, at : at + RUN].astype(np.float32).T
-    return total
+    """Exact products, in float32 as long as one run holds all dimensions."""
+    parts = (a[:, at : at + RUN].astype(np.float32) @ b[:, at : at + RUN].astype(np.float32).T for at in range(0, a.shape[1], RUN))
+    if a.shape[1] <= RUN:
+        return next(parts)
+    return sum(part.astype(np.float64) for part in parts)
 
 
-def linked(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
-    """Which pairs of unit rows have a cosine of at least ``threshold``, as a boolean matrix."""
+def link_pairs(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of unit rows with a cosine of at least ``threshold``, in order of rows.
+
+    A pair is looked at by its own bounds if its product reaches the threshold with the widest bounds of the tile.
+    """
+    if not len(a) or not len(b):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     qa, sa, na, ea = quantise(a)
     qb, sb, nb, eb = quantise(b)
-    about = int8_products(qa, qb) * sa[:, None] * sb[None, :]
-    error = na[:, None] * eb[None, :] + ea[:, None] * nb[None, :] + ea[:, None] * eb[None, :] + SLACK
-    sure = about - error >= threshold
-    open_pairs = (about + error >= threshold) & ~sure
-    i, j = np.nonzero(open_pairs)
+    products = int8_products(qa, qb)
+    # the products are exact; the scales are rounded to float32 three times
+    widest = na.max() * eb.max() + ea.max() * nb.max() + ea.max() * eb.max() + SLACK + 1e-6
+    products32 = products * sa[:, None].astype(np.float32)
+    products32 *= sb[None, :].astype(np.float32)
+    i, j = np.nonzero(products32 >= np.float32(threshold - widest))
+    found = np.zeros(len(i), bool)
     for at in range(0, len(i), 100_000):
         x, y = i[at : at + 100_000], j[at : at + 100_000]
-        sure[x, y] = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
-    return sure
+        about = products[x, y].astype(np.float64) * sa[x] * sb[y]
+        error = na[x] * eb[y] + ea[x] * nb[y] + ea[x] * eb[y] + SLACK
+        sure = about - error >= threshold
+        unsure = np.flatnonzero((about + error >= threshold) & ~sure)
+        sure[unsure] = np.einsum("ij,ij->i", a[x[unsure]], b[y[unsure]]) >= threshold
+        found[at : at + 100_000] = sure
+    return i[found], j[found]
+
+
+def linked(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Which pairs of unit rows have a cosine of at least ``threshold``, as a boolean matrix."""
+    found = np.zeros((len(a), len(b)), bool)
+    found[link_pairs(a, b, threshold)] = True
+    return found
 
 
 def forest(count: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +110,12 @@ def _tile_pairs(tiled: DataFrame, tiles: int) -> DataFrame:
     )
 
 
+def _sums(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    total = np.zeros(size, np.int64)
+    np.add.at(total, at, values)
+    return total
+
+
 def _compare(threshold: float):
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         first, second = key
@@ -100,16 +126,16 @@ def _compare(threshold: float):
         if not len(left) or not len(right):
             return empty
         a, b = (unit_rows(np.stack(side.vector.to_numpy()).astype(np.float64)) for side in (left, right))
-        hit = linked(a, b, threshold)
+        i, j = link_pairs(a, b, threshold)
         same = first == second
         if same:
-            np.fill_diagonal(hit, False)
-        counts = [(left.rep.to_numpy(), hit @ right.copies.to_numpy())]
-        i, j = np.nonzero(np.triu(hit) if same else hit)
+            i, j = i[i != j], j[i != j]
+        counts = [(left.rep.to_numpy(), _sums(i, right.copies.to_numpy()[j], len(left)))]
         if same:
+            i, j = i[i < j], j[i < j]
             reps = left.rep.to_numpy()
         else:
-            counts.append((right.rep.to_numpy(), left.copies.to_numpy() @ hit))
+            counts.append((right.rep.to_numpy(), _sums(j, left.copies.to_numpy()[i], len(right))))
             reps = np.concatenate([left.rep.to_numpy(), right.rep.to_numpy()])
             j = j + len(left)
         x, y = forest(len(reps), i, j)

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -327,6 +328,27 @@ def test_near_duplicates_of_odd_rows(odd):
     assert near_dedup.near_duplicates(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width", [3, 64, 1_500])
+def test_links_are_those_of_all_cosines(width):
+    rng = np.random.default_rng(width)
+    a = rng.normal(size=(150, width))
+    b = np.concatenate([a + rng.uniform(0.2, 0.5) * rng.normal(size=a.shape), a, 0.05 * a])
+    a, b = vector_dedup.unit_rows(a), vector_dedup.unit_rows(b)
+    i, j = vector_dedup.link_pairs(a, b)
+    right = np.einsum("ik,jk->ij", a, b) >= 0.95
+    assert (np.stack([i, j]) == np.stack(np.nonzero(right))).all() and len(i) >= 300
+
+
+def test_a_pair_of_tiles_makes_no_wide_matrices():
+    rows = vector_dedup.unit_rows(np.random.default_rng(1).normal(size=(1_024, 64)))
+    vector_dedup.link_pairs(rows, rows)
+    tracemalloc.start()
+    vector_dedup.link_pairs(rows, rows)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 16 * len(rows) ** 2
+
+
 def test_suffix_tree_scores(spark, docs, odd):
     texts = texts_of(docs)
     tokens = {i: t.encode().lower().split() + [0] for i, t in texts.items()}
