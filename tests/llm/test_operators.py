@@ -439,6 +439,36 @@ def test_words_of_the_tree_are_those_between_ascii_space(text):
     assert words.take(at).to_pylist() == [*text.encode().lower().split(), b"end"] and counts.tolist() == [len(text.encode().split()), 1, 0]
 
 
+def test_packed_numbers_come_back():
+    for numbers in ([0], [0, 0], [5, -1, 2**62, -(2**63)], [1, 255, 256], [3] * 1_000):
+        numbers = np.array(numbers, np.int64)
+        assert (suffix_tree.unpacked(suffix_tree.packed(numbers), len(numbers)) == numbers).all()
+    assert len(suffix_tree.packed(np.arange(256))) == 256
+
+
+@pytest.mark.parametrize("most", [5, 1_000_000])
+def test_pairs_travel_packed(spark, most):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"f{at}" for at in rng.zipf(1.3, 400) % 700)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    docs = docs.select(F.encode("text", "utf-8").alias("body"), F.lit(False).alias("held_out"))
+    right, words = Counter(), Counter(END=len(rows))
+    for _, text in rows:
+        own = [*text.split(), "END"]
+        words.update(own[:-1])
+        right.update(zip(own, own[1:]))
+    counted = suffix_tree._counted(docs)
+    assert sorted(r["c"] for r in counted.collect()) == sorted(words.values())
+    known = spark.sparkContext.broadcast(suffix_tree._vocabulary(counted, most))
+    parts = suffix_tree._pairs(docs, known).toArrow()
+    assert parts.num_rows < 100
+    plain, rest = (suffix_tree._summed(parts, kind) for kind in (True, False))
+    # what cannot pass the test may be missing
+    pairs = sorted([*plain[2], *rest[2]])
+    assert 0 < len(pairs) <= len(right) and not Counter(pairs) - Counter(right.values())
+    assert pairs[-1] > 3 and (len(rest[0]) > 0) == (most == 5)
+
+
 def test_suffix_tree_keeps_weak_entries(spark):
     rng = np.random.default_rng(11)
     rows = []
