@@ -15,8 +15,9 @@ from pyspark.sql import SparkSession
 
 from snapdelta.sinks.folders import Folders
 
-# A local disk has no such create; within one driver this lock stands in for it.
-_CREATING = threading.Lock()
+# A local disk has no such create; within one driver this lock stands in for it. Readers wait for it too: a file that
+# is still being written must not pass for a number without a commit.
+_CREATING = threading.RLock()
 
 
 class VersionLog:
@@ -35,18 +36,20 @@ class VersionLog:
     def read(self, version: int) -> dict | None:
         """The document of a number, None when it holds no commit (or does not any more)."""
         try:
-            found = json.loads(self._folders.read_text(self._file(version)))
+            with _CREATING:
+                found = json.loads(self._folders.read_text(self._file(version)))
         except (ValueError, FileNotFoundError):
             return None
         return found if isinstance(found, dict) else None
 
     def newest(self) -> tuple[int, dict | None]:
         """The highest number taken (0 without any) and the newest document."""
-        taken = self.versions()
-        for version in reversed(taken):
-            found = self.read(version)
-            if found is not None:
-                return taken[-1], found
+        with _CREATING:
+            taken = self.versions()
+            for version in reversed(taken):
+                found = self.read(version)
+                if found is not None:
+                    return taken[-1], found
         return (taken[-1] if taken else 0), None
 
     def commit(self, version: int, document: dict) -> bool:

@@ -4,6 +4,7 @@ import json
 import os
 import random
 import threading
+import time
 from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
@@ -268,6 +269,30 @@ def test_versions_of_a_log_are_admitted_once(spark, place):
         store.at("t", 99)
 
 
+def test_a_version_that_is_being_written_is_waited_for(spark, place, monkeypatch):
+    store, started, write = SchemaStore(spark, place.schemas), threading.Event(), Folders.create_text
+
+    def slow(self, file, text):
+        if started.is_set():
+            return write(self, file, text)
+        path, fs = self._path(file)
+        fs.mkdirs(path.getParent())
+        stream = fs.create(path, False)
+        started.set()
+        time.sleep(2)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
+    monkeypatch.setattr(Folders, "create_text", slow)
+    first = threading.Thread(target=store.admit, args=("slow", T._parse_datatype_string("a int, x1 int")))
+    first.start()
+    assert started.wait(60)
+    store.admit("slow", T._parse_datatype_string("a int, x2 int"))
+    first.join()
+    assert set(store.current("slow")[1].fieldNames()) == {"a", "x1", "x2"}
+
+
 def test_a_log_whose_types_change_stays_readable(spark, place):
     runs = [
         "SELECT 1L AS c, 5 AS v, DATE '2024-01-01' AS d",
